@@ -247,12 +247,12 @@ def q_run_manifest(spark, sf):
 
 def q_sql_row_counts(spark, sf):
     s = _star(spark, sf)
-    return an.row_counts(s.dim_media, s.dim_visitor, s.fact)
+    return an.row_counts(s.media_titles, s.dim_visitor, s.fact)
 
 
 def q_sql_counts_one_row(spark, sf):
     s = _star(spark, sf)
-    return an.counts_one_row(s.dim_media, s.dim_visitor, s.fact)
+    return an.counts_one_row(s.media_titles, s.dim_visitor, s.fact)
 
 
 def q_sql_by_media(spark, sf):
@@ -261,12 +261,12 @@ def q_sql_by_media(spark, sf):
 
 def q_sql_by_title(spark, sf):
     s = _star(spark, sf)
-    return an.by_title(s.fact, s.dim_media)
+    return an.by_title(s.fact, s.media_titles)
 
 
 def q_sql_watch_minutes(spark, sf):
     s = _star(spark, sf)
-    return an.watch_minutes(s.fact, s.dim_media)
+    return an.watch_minutes(s.fact, s.media_titles)
 
 
 def q_sql_uniqueness(spark, sf):
@@ -290,12 +290,12 @@ def q_dq_percent_range(spark, sf):
 
 def q_dq_orphans(spark, sf):
     s = _star(spark, sf)
-    return dq.orphans(s.fact, s.dim_media, s.dim_visitor)
+    return dq.orphans(s.fact, s.media_titles, s.dim_visitor)
 
 
 def q_dq_report(spark, sf):
     s = _star(spark, sf)
-    return dq.quality_report(s.fact, s.dim_media, s.dim_visitor)
+    return dq.quality_report(s.fact, s.media_titles, s.dim_visitor)
 
 
 # ---- profiling ------------------------------------------------------------------------------
