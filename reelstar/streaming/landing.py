@@ -57,16 +57,16 @@ def start_landing_stream(
 ) -> StreamingQuery:
     """Stream landed events into a Parquet event table (append, exactly-once).
 
-    ``foreachBatch`` writes each micro-batch with ordinary batch writers; the
-    batch id makes reprocessing after a failure idempotent per batch via the
-    file sink's commit protocol on the output path.
+    ``foreachBatch`` writes each micro-batch with ordinary batch writers into
+    its own ``batch_id=N`` directory in overwrite mode, so a batch replayed
+    after a failure replaces its earlier partial output instead of doubling it.
     """
     events = read_event_stream(spark, raw_root)
     if watermark:
         events = dedup_stream(events, watermark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path)
+        batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     writer = events.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
