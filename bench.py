@@ -67,7 +67,15 @@ def main() -> None:
     # Warm-up of the JVM and code-generation caches on the smallest scale
     # (different files, same code paths): not timed.
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
-    if os.path.isdir(warm_dir):
+    if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
+        pipeline.run_transform(
+            spark,
+            fx.raw_events(spark, warm_dir),
+            fx.raw_metadata(spark, warm_dir),
+            fx.raw_stats(spark, warm_dir),
+            os.path.join(scratch, "warm"),
+            channel_rules=fx.channel_rules(),
+        )
         for name in ("sql_watch_minutes", "dim_media", "run_manifest"):
             QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
@@ -94,14 +102,17 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t, 3)
 
-    total = round(sum(times.values()), 3)
+    # Headline = the reference's workload: the transform job, then its SQL on
+    # the curated tables. All other timings are reported alongside.
+    headline = round(times["transform"] + sum(v for k, v in times.items() if k.endswith("@curated")), 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(
         json.dumps(
             {
-                "metric": "total_query_seconds",
-                "value": total,
+                "metric": "transform_plus_curated_sql_seconds",
+                "value": headline,
                 "unit": "sec",
+                "total_all_queries_sec": round(sum(times.values()), 3),
                 "queries": times,
                 "sf": sf,
                 "cpus": cpus,

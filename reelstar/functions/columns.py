@@ -31,6 +31,8 @@ STATS_MEDIA_FROM_PATH = r"/media_stats/([^/]+)\.json$"
 RUN_ID_FROM_PATH = r"run_id=([^/]+)"
 RUN_DATE_FROM_PATH = r"run_date=([^/]+)"
 EVENTS_MEDIA_FROM_PATH = r"media_id=([^/]+)"
+# Trailing UTC offset of an ISO-8601 timestamp string.
+ISO_OFFSET = r"(Z|[+-]\d{2}:?\d{2})$"
 # The events API pages at this many records.
 EVENT_PAGE_SIZE = 100
 # ---------------------------------------------------------------------------
@@ -67,10 +69,22 @@ def event_date(ts: ColumnOrName) -> Column:
 
 
 def day_start(ts: ColumnOrName) -> Column:
-    """Start of the UTC day of an instant (the coarse date predicate)."""
+    """Start of the (session-zone, UTC) day of an instant."""
     return F.date_trunc("day", _c(ts))
 
 
+def mark_day_start(mark: ColumnOrName) -> Column:
+    """Start of the calendar day of an ISO timestamp string *in its own offset*.
+
+    ``2026-08-15T01:30:00.000+02:00`` -> ``2026-08-15T00:00:00+02:00`` (that is
+    2026-08-14T22:00Z): the day the source filters on is the mark's local date.
+    A string without an offset is read in the session zone.
+    """
+    mark = _c(mark)
+    offset = F.regexp_extract(mark, ISO_OFFSET, 1)
+    return parse_ts(F.concat(F.substring(mark, 1, 10), F.lit("T00:00:00"), offset))
+
+
 def channel_of(url: ColumnOrName, rules: Sequence[tuple[str, str]] = DEFAULT_CHANNEL_RULES) -> Column:
     """Rule-driven CASE: first substring match of ``lower(url)`` wins."""
     lowered = F.lower(_c(url))

@@ -75,12 +75,15 @@ def plan_landing(
     ev = ev.withColumn(TS, fn.parse_ts("received_at")).withColumn(MARK_TS, fn.parse_ts(MARK))
 
     has_mark = F.col(MARK).isNotNull()
-    # The source filters by calendar day only; records without a usable time
-    # cannot be filtered by it and come back.
-    fetched = ev.where(~has_mark | F.col(TS).isNull() | (F.col(TS) >= fn.day_start(MARK_TS)))
     cutoff = F.col(MARK_TS)
+    fetch_from = fn.mark_day_start(MARK)
     if lookback_seconds:
         cutoff = cutoff - F.make_interval(secs=F.lit(lookback_seconds))
+        # a lookback reaching into an earlier day must fetch from that day
+        fetch_from = F.least(fetch_from, fn.day_start(cutoff))
+    # The source filters by calendar day only; records without a usable time
+    # cannot be filtered by it and come back.
+    fetched = ev.where(~has_mark | F.col(TS).isNull() | (F.col(TS) >= fetch_from))
     saved_flag = ~fn.is_blank("received_at") & F.col(TS).isNotNull() & (~has_mark | (F.col(TS) > cutoff))
     fetched = fetched.withColumn(SAVED, saved_flag)
     saved = fetched.where(F.col(SAVED)).select(*payload_cols)
@@ -116,6 +119,7 @@ def plan_landing(
         F.coalesce(F.col("events_saved"), F.lit(0)).cast("long").alias("events_saved"),
         F.coalesce(F.col("events_rejected"), F.lit(0)).cast("long").alias("events_rejected"),
         F.lit("success").alias("status"),
+        F.lit(None).cast("string").alias("error"),
     )
 
     advanced = manifest.where(F.col("checkpoint_after").isNotNull()).select(

@@ -130,7 +130,7 @@ fact AS (
   LEFT JOIN latest_metadata m ON e.media_id = m.media_id
   LEFT JOIN latest_stats s ON e.media_id = s.media_id),
 landing_state AS (
-  SELECT 'm' || CAST(p_partkey AS VARCHAR) AS media_id, '2024-01-20T00:00:00.000Z' AS last_received_at
+  SELECT 'm' || CAST(p_partkey AS VARCHAR) AS media_id, '2024-01-20T12:00:00.000Z' AS last_received_at
   FROM part WHERE p_type <> 'ECONOMY'),
 configured_media AS (SELECT 'm' || CAST(p_partkey AS VARCHAR) AS media_id FROM part)
 """
@@ -138,6 +138,9 @@ configured_media AS (SELECT 'm' || CAST(p_partkey AS VARCHAR) AS media_id FROM p
 
 def landing_ctes(lookback_seconds: int = 0) -> str:
     cutoff = "__mark_ts" if not lookback_seconds else f"(__mark_ts - INTERVAL {int(lookback_seconds)} SECOND)"
+    fetch_from = "date_trunc('day', __mark_ts)"
+    if lookback_seconds:
+        fetch_from = f"least({fetch_from}, date_trunc('day', {cutoff}))"
     return f""",
 land_ev AS (
   SELECT s.*, st.last_received_at AS __mark,
@@ -148,7 +151,7 @@ land_fetched AS (
   SELECT *, (received_at IS NOT NULL AND received_at <> '' AND __ts IS NOT NULL
              AND (__mark IS NULL OR __ts > {cutoff})) AS __saved
   FROM land_ev
-  WHERE __mark IS NULL OR __ts IS NULL OR __ts >= date_trunc('day', __mark_ts)),
+  WHERE __mark IS NULL OR __ts IS NULL OR __ts >= {fetch_from}),
 land_agg AS (
   SELECT media_id, COUNT(*) AS events_fetched,
          COUNT(*) FILTER (WHERE __saved) AS events_saved,
@@ -167,7 +170,7 @@ run_manifest AS (
          CAST(COALESCE(a.events_fetched, 0) AS BIGINT) AS events_fetched,
          CAST(COALESCE(a.events_saved, 0) AS BIGINT) AS events_saved,
          CAST(COALESCE(a.events_rejected, 0) AS BIGINT) AS events_rejected,
-         'success' AS status
+         'success' AS status, CAST(NULL AS VARCHAR) AS error
   FROM (SELECT DISTINCT media_id FROM configured_media) c
   LEFT JOIN landing_state st ON c.media_id = st.media_id
   LEFT JOIN land_agg a ON c.media_id = a.media_id),

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from reelstar import schemas
 from reelstar.functions import columns as fn
 from reelstar.operators.landing import plan_landing
 from reelstar.plans import star as st
@@ -86,16 +87,21 @@ def run_landing(
     Returns the manifest as written (read back from the run directory).
     """
     store = land.StateStore(spark, state_root)
-    plan = plan_landing(
-        source_events, store.read(), media, run_id=run_id, run_date=run_date, lookback_seconds=lookback_seconds
-    )
-    if metadata is not None:
-        land.land_metadata(metadata, raw_root, run_id, run_date)
-    if stats is not None:
-        land.land_stats(stats, raw_root, run_id, run_date)
-    land.land_events(plan.saved, raw_root, run_id, run_date)
-    land.land_manifest(plan.manifest, raw_root, run_id, run_date)
-    from reelstar import schemas
+    try:
+        plan = plan_landing(
+            source_events, store.read(), media, run_id=run_id, run_date=run_date, lookback_seconds=lookback_seconds
+        )
+        if metadata is not None:
+            land.land_metadata(metadata, raw_root, run_id, run_date)
+        if stats is not None:
+            land.land_stats(stats, raw_root, run_id, run_date)
+        land.land_events(plan.saved, raw_root, run_id, run_date)
+        land.land_manifest(plan.manifest, raw_root, run_id, run_date)
+    except Exception as exc:
+        # Failed run: record it (status + error per configured media) and keep
+        # the previous checkpoint, so the next run re-lands what this one lost.
+        _write_failed_manifest(spark, media, source_events, raw_root, run_id, run_date, exc)
+        raise
 
     manifest = spark.read.schema(schemas.MANIFEST).json(f"{land.run_prefix(raw_root, run_id, run_date)}/run_manifest.json")
     # New marks from the *written* manifest: no recomputation of the run.
@@ -105,3 +111,24 @@ def run_landing(
     carried = store.read().join(manifest.select("media_id"), "media_id", "left_anti")
     store.write(advanced.unionByName(carried), run_id)
     return manifest
+
+
+def _write_failed_manifest(spark, media, source_events, raw_root, run_id, run_date, exc) -> None:
+    if media is None:
+        universe = source_events.select("media_id").distinct()
+    elif isinstance(media, list):
+        universe = spark.createDataFrame([(m,) for m in media], "media_id string")
+    else:
+        universe = media.select("media_id").distinct()
+    failed = universe.select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(run_date).alias("run_date"),
+        "media_id",
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.MANIFEST.fields[3:-2]],
+        F.lit("failed").alias("status"),
+        F.lit(f"{type(exc).__name__}: {exc}"[:2000]).alias("error"),
+    )
+    try:
+        land.land_manifest(failed, raw_root, run_id, run_date)
+    except Exception:  # noqa: BLE001 - the original error is the one to raise
+        pass

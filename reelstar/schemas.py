@@ -76,6 +76,7 @@ MANIFEST = StructType(
         _s("events_saved", LongType()),
         _s("events_rejected", LongType()),
         _s("status"),
+        _s("error"),
     ]
 )
 

@@ -118,3 +118,45 @@ def scan_manifests(spark: SparkSession, raw_root: str, *, allow_missing: bool =
 def read_curated(spark: SparkSession, curated_root: str, name: str) -> DataFrame:
     """A curated Parquet table (vectorised scan, filter/column pushdown)."""
     return spark.read.schema(schemas.CURATED[name]).parquet(f"{curated_root.rstrip('/')}/{name}")
+
+
+def read_legacy_checkpoint(spark: SparkSession, path: str) -> DataFrame:
+    """S8 for the single-document checkpoint (``{media_id: {last_received_at}}``).
+
+    Returns one row per media (an empty frame when the document is missing),
+    so an existing deployment can seed :class:`reelstar.sinks.landing.StateStore`.
+    """
+    try:
+        doc = spark.read.text(path, wholetext=True)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return _empty(spark, schemas.STATE)
+        raise
+    entries = doc.select(F.explode(F.from_json("value", schemas.LEGACY_CHECKPOINT)).alias("media_id", "v"))
+    return entries.select("media_id", F.col("v.last_received_at").alias("last_received_at"))
+
+
+def read_legacy_manifests(spark: SparkSession, raw_root: str) -> DataFrame:
+    """Run manifests in the map-per-run form, flattened to one row per (run, media)."""
+    try:
+        docs = spark.read.text(f"{raw_root.rstrip('/')}/{MANIFEST_GLOB}", wholetext=True)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return _empty(spark, schemas.MANIFEST)
+        raise
+    m = docs.select(F.from_json("value", schemas.LEGACY_MANIFEST).alias("m")).select("m.*")
+    rows = m.select("run_id", "run_date", "status", "error", F.explode_outer("media").alias("media_id", "s"))
+    return rows.select(
+        "run_id",
+        "run_date",
+        "media_id",
+        F.col("s.mode").alias("mode"),
+        F.col("s.checkpoint_before").alias("checkpoint_before"),
+        F.col("s.checkpoint_after").alias("checkpoint_after"),
+        F.col("s.pages_fetched").alias("pages_fetched"),
+        F.col("s.events_fetched").alias("events_fetched"),
+        F.col("s.events_saved").alias("events_saved"),
+        F.lit(None).cast("long").alias("events_rejected"),
+        "status",
+        "error",
+    )

@@ -132,3 +132,56 @@ def test_stream_landing_available_now_is_idempotent(spark, tmp_path):
     # stream dedup == batch dedup (all copies lie within the watermark horizon)
     batch = st.dedup_events(raw.scan_events(spark, raw_root)).count()
     assert first == batch == src.count()
+
+
+def test_failed_run_records_manifest_and_keeps_marks(spark, tmp_path):
+    raw_root, state_root = str(tmp_path / "raw"), str(tmp_path / "state")
+    store = land.StateStore(spark, state_root)
+    store.write(spark.createDataFrame([Row(media_id="m1", last_received_at="2024-01-01T00:00:00.000Z")], schemas.STATE), "20240101T000000Z")
+    bad = spark.createDataFrame([Row(**{**{f.name: None for f in schemas.RAW_EVENT.fields}, "media_id": "m1", "received_at": "2024-02-01T00:00:00.000Z"})], schemas.RAW_EVENT)
+    bad = bad.withColumn("event_key", F.raise_error(F.lit("source unavailable")))  # fails when the run executes
+    try:
+        pipeline.run_landing(spark, bad, ["m1", "m2"], state_root, raw_root, run_id="20240202T000000Z", run_date="2024-02-02")
+        raise AssertionError("run should have failed")
+    except Exception as exc:  # noqa: BLE001
+        assert "source unavailable" in str(exc)
+    man = spark.read.schema(schemas.MANIFEST).json(f"{raw_root}/run_date=2024-02-02/run_id=20240202T000000Z/run_manifest.json")
+    rows = {r.media_id: r for r in man.collect()}
+    assert set(rows) == {"m1", "m2"} and {r.status for r in rows.values()} == {"failed"}
+    assert "source unavailable" in rows["m1"].error
+    assert [tuple(r) for r in store.read().collect()] == [("m1", "2024-01-01T00:00:00.000Z")]  # marks unchanged
+
+
+def test_legacy_checkpoint_and_manifest_documents(spark, tmp_path):
+    ck = tmp_path / "state" / "checkpoint.json"
+    ck.parent.mkdir(parents=True)
+    ck.write_text(json.dumps({"m1": {"last_received_at": "2026-08-15T07:51:28.000Z"}, "m2": {"last_received_at": "2026-08-16T00:00:00.000Z"}}, indent=2))
+    got = sorted(tuple(r) for r in raw.read_legacy_checkpoint(spark, str(ck)).collect())
+    assert got == [("m1", "2026-08-15T07:51:28.000Z"), ("m2", "2026-08-16T00:00:00.000Z")]
+    assert raw.read_legacy_checkpoint(spark, str(tmp_path / "missing.json")).count() == 0
+    run = tmp_path / "raw" / "run_date=2026-08-16" / "run_id=20260816T060000Z"
+    run.mkdir(parents=True)
+    (run / "run_manifest.json").write_text(json.dumps({
+        "run_id": "20260816T060000Z", "run_date": "2026-08-16", "status": "success", "media_ids": ["m1"],
+        "media": {"m1": {"mode": "incremental", "checkpoint_before": "a", "checkpoint_after": "b", "pages_fetched": 1, "events_fetched": 2, "events_saved": 1}},
+    }, indent=2))
+    rows = raw.read_legacy_manifests(spark, str(tmp_path / "raw")).collect()
+    assert [(r.media_id, r.mode, r.events_fetched, r.events_saved, r.status) for r in rows] == [("m1", "incremental", 2, 1, "success")]
+
+
+def test_stream_dedup_forgets_beyond_the_watermark(spark, tmp_path):
+    raw_root = str(tmp_path / "raw")
+    rows = [
+        Row(**{**{f.name: None for f in schemas.RAW_EVENT.fields}, "event_key": "k", "media_id": "m", "received_at": "2026-01-01T00:00:00.000Z"}),
+        Row(**{**{f.name: None for f in schemas.RAW_EVENT.fields}, "event_key": "z", "media_id": "m", "received_at": "2026-03-01T00:00:00.000Z"}),
+    ]
+    land.land_events(spark.createDataFrame(rows[:2], schemas.RAW_EVENT), raw_root, "20260301T000000Z", "2026-03-01")
+    late_copy = [Row(**{**rows[0].asDict(), "received_at": "2026-01-01T00:00:00.000Z"})]
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    stream.start_landing_stream(spark, raw_root, out, ckpt, watermark="1 day").awaitTermination()
+    land.land_events(spark.createDataFrame(late_copy, schemas.RAW_EVENT), raw_root, "20260302T000000Z", "2026-03-02")
+    stream.start_landing_stream(spark, raw_root, out, ckpt, watermark="1 day").awaitTermination()
+    # The copy of "k" is older than the watermark: dropped as late, never doubled.
+    assert sorted(r.event_key for r in spark.read.parquet(out).collect()) == ["k", "z"]
+    # The batch transform's dedup is exact over all history regardless.
+    assert st.dedup_events(raw.scan_events(spark, raw_root)).count() == 2

@@ -239,3 +239,27 @@ def test_duplicates_and_range_reports(spark):
     assert (d.rows, d.distinct_keys, d.duplicate_rows, d.missing_keys) == (4, 2, 1, 1)
     r = dq.range_report(df, "p").first()
     assert (r.out_of_range, r.null_values, r.min_value, r.max_value) == (2, 1, -0.1, 1.5)
+
+
+def test_coarse_day_is_the_marks_own_offset(spark):
+    mark = "2026-08-15T01:30:00.000+02:00"  # = 2026-08-14T23:30Z; its own day starts 2026-08-14T22:00Z
+    src = events_df(
+        spark,
+        [
+            ev(event_key="in-day", media_id="a", received_at="2026-08-14T22:30:00.000Z"),
+            ev(event_key="before-day", media_id="a", received_at="2026-08-14T21:00:00.000Z"),
+            ev(event_key="after", media_id="a", received_at="2026-08-15T00:00:00.000Z"),
+        ],
+    )
+    plan = plan_landing(src, state_df(spark, {"a": mark}), run_id="r", run_date="d")
+    assert sorted(r.event_key for r in plan.fetched.collect()) == ["after", "in-day"]
+    assert [r.event_key for r in plan.saved.collect()] == ["after"]
+
+
+def test_lookback_into_the_previous_day_fetches_that_day(spark):
+    mark = "2026-08-15T00:30:00.000Z"
+    src = events_df(spark, [ev(event_key="late-prev-day", media_id="a", received_at="2026-08-14T23:45:00.000Z")])
+    strict = plan_landing(src, state_df(spark, {"a": mark}), run_id="r", run_date="d")
+    assert strict.fetched.count() == 0
+    back = plan_landing(src, state_df(spark, {"a": mark}), run_id="r", run_date="d", lookback_seconds=3600)
+    assert [r.event_key for r in back.saved.collect()] == ["late-prev-day"]
