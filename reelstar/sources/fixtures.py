@@ -58,8 +58,12 @@ def balance_input(df: DataFrame) -> DataFrame:
     round-robin repartition; a large input (thousands of splits) is left
     alone, so this never adds a shuffle at scale.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a client session without RDD access: leave the scan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 # Fact-like inputs whose per-row work dominates; dimension tables stay as read.
