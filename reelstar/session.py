@@ -70,6 +70,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                "(a machine-local directory would be lost with its executor)"
+            )
         configured = tempfile.mkdtemp(prefix="reelstar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)

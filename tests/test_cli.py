@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import functions as F
 
 from reelstar import cli
 from reelstar.sources import fixtures as fx
