@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -50,3 +52,18 @@ def test_fact_joins_do_not_fan_out(spark):
     assert s.fact.count() == s.events.count() == s.fact.select("engagement_id").distinct().count()
     assert s.dim_media.count() == s.dim_media.select("media_id").distinct().count()
     assert s.dim_visitor.count() == s.dim_visitor.select("visitor_id").distinct().count()
+
+
+def test_small_dimension_lookups_are_broadcast(spark):
+    s = st.build_star(fx.raw_events(spark, SF), fx.raw_metadata(spark, SF), fx.raw_stats(spark, SF))
+    fact = s.fact
+    fact.collect()  # executes this DataFrame's plan: AQE's final plan is inspected
+    text = fact._jdf.queryExecution().executedPlan().toString()
+    # the two per-media lookups (duration, play rate) join by broadcast, not by shuffling the events
+    assert len(re.findall(r"BroadcastHashJoin \[media_id#\d+\]", text)) >= 2
+
+
+def test_golden_stage_counts_sf0001(spark):
+    # FIXTURES.md section 5, computed independently with DuckDB.
+    got = {r.stage: r.row_count for r in entry.queries()["stage_counts"](spark, SF).collect()}
+    assert got == {"raw_events": 1175, "unique_events": 1000, "dim_media": 165, "dim_visitor": 15, "fact_media_engagement": 1000}
