@@ -3,7 +3,8 @@
 Usage: python tests/oracle_check.py [sf_dir] [name ...]
 
 Comparison: row count, column names, and the multiset of rows after
-normalising values (floats to 9 significant digits, timestamps naive).
+normalising values (floats to 9 significant digits, timestamps naive);
+with ORACLE_EXACT=1 floats must be bit-equal.
 """
 
 from __future__ import annotations
@@ -23,13 +24,16 @@ TABLES = (
 ).split()
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):
