@@ -49,24 +49,25 @@ def run_transform(
     events = spark.read.parquet(f"{stage}/events")
 
     star = st.build_star(raw_events, raw_metadata, raw_stats, channel_rules, events=events)
+    counts = write_star(spark, star, curated_root, db=db)
+    return {"raw_events": raw_obs.get["rows"], "unique_events": uniq_obs.get["rows"], **counts}
+
+
+def write_star(spark: SparkSession, star: st.Star, curated_root: str, *, db: str | None = None) -> dict[str, int]:
+    """K6 (+K7/K8): write the three curated tables, counting rows during the writes."""
     outputs = {
         "dim_media": (star.dim_media, ()),
         "dim_visitor": (star.dim_visitor, ()),
         "fact_media_engagement": (star.fact, cur.FACT_PARTITIONS),
     }
-    counts = {"raw_events": 0, "unique_events": 0}
     observations = {}
     for name, (df, parts) in outputs.items():
         counted, obs = _counted(df, name)
         cur.write_table(counted, cur.table_path(curated_root, name), partition_by=parts)
         observations[name] = obs
-    counts["raw_events"] = raw_obs.get["rows"]
-    counts["unique_events"] = uniq_obs.get["rows"]
-    for name, obs in observations.items():
-        counts[name] = obs.get["rows"]
     if db:
         cur.register_tables(spark, db, curated_root)
-    return counts
+    return {name: obs.get["rows"] for name, obs in observations.items()}
 
 
 def run_landing(
