@@ -1,6 +1,8 @@
 """Command-line jobs: ``python -m reelstar <command> ...``.
 
-* ``transform`` — raw landed history -> the three curated tables (+ catalog).
+* ``transform`` — raw landed history -> the three curated tables (+ catalog);
+  with ``--incremental --runs GLOB`` only the new runs are merged into the
+  date-partitioned dedup store before the tables are rebuilt from it.
 * ``land`` — one landing run from a source table of events (Parquet or JSON
   lines) against the versioned state: data, manifest, then checkpoint.
 * ``validate`` — the validation/analytics SQL and the quality report over
@@ -27,7 +29,7 @@ from reelstar.functions.columns import DEFAULT_CHANNEL_RULES
 from reelstar.operators import profile as pf
 from reelstar.operators import quality as dq
 from reelstar.plans import analytics as an
-from reelstar.plans import pipeline
+from reelstar.plans import incremental, pipeline
 from reelstar.session import build_session
 from reelstar.sources import raw
 
@@ -49,6 +51,18 @@ def _print_rows(df, limit: int | None = None) -> None:
 
 
 def cmd_transform(spark: SparkSession, a: argparse.Namespace) -> int:
+    if a.incremental:
+        counts = incremental.run_incremental_transform(
+            spark,
+            raw.scan_events(spark, a.raw, multiline=a.multiline, runs=a.runs, allow_missing=True),
+            raw.scan_metadata(spark, a.raw, multiline=a.multiline, allow_missing=True),
+            raw.scan_stats(spark, a.raw, multiline=a.multiline, allow_missing=True),
+            a.curated,
+            channel_rules=_rules(a.channel_rule),
+            db=a.db,
+        )
+        print(json.dumps(counts))
+        return 0
     counts = pipeline.run_transform(
         spark,
         raw.scan_events(spark, a.raw, multiline=a.multiline),
@@ -111,6 +125,8 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--db", default=None)
     t.add_argument("--multiline", action="store_true", help="raw files are JSON arrays (one document per file)")
     t.add_argument("--channel-rule", action="append", help="needle=Label, in priority order")
+    t.add_argument("--incremental", action="store_true", help="merge only --runs into the dedup store, then rebuild")
+    t.add_argument("--runs", default=raw.ALL_RUNS, help="run glob for --incremental, e.g. 'run_date=2024-02-01/run_id=*'")
     t.set_defaults(run=cmd_transform)
 
     ld = sub.add_parser("land")

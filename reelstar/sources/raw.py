@@ -29,10 +29,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 from reelstar import schemas
 from reelstar.functions import columns as fn
 
-EVENTS_GLOB = "run_date=*/run_id=*/events/media_id=*/*.json"
-METADATA_GLOB = "run_date=*/run_id=*/media_metadata.json"
-STATS_GLOB = "run_date=*/run_id=*/media_stats/*"
-MANIFEST_GLOB = "run_date=*/run_id=*/run_manifest.json"
+ALL_RUNS = "run_date=*/run_id=*"
+EVENTS_GLOB = f"{ALL_RUNS}/events/media_id=*/*.json"
+METADATA_GLOB = f"{ALL_RUNS}/media_metadata.json"
+STATS_GLOB = f"{ALL_RUNS}/media_stats/*"
+MANIFEST_GLOB = f"{ALL_RUNS}/run_manifest.json"
 
 CORRUPT = "_corrupt_record"
 
@@ -94,10 +95,15 @@ def stats_media_id(path: F.Column | str) -> F.Column:
     return F.when(legacy != "", legacy).otherwise(partitioned)
 
 
-def scan_events(spark: SparkSession, raw_root: str, *, multiline: bool = False, allow_missing: bool = False) -> DataFrame:
-    """Every landed event of every run. Payload ``media_id`` wins; the path
-    id fills in for files written with ``partitionBy('media_id')``."""
-    df = read_json(spark, f"{raw_root.rstrip('/')}/{EVENTS_GLOB}", schemas.RAW_EVENT, multiline=multiline, allow_missing=allow_missing)
+def scan_events(
+    spark: SparkSession, raw_root: str, *, multiline: bool = False, allow_missing: bool = False, runs: str = ALL_RUNS
+) -> DataFrame:
+    """Every landed event of the selected runs (all by default). Payload
+    ``media_id`` wins; the path id fills in for ``partitionBy('media_id')`` files.
+    ``runs`` narrows the glob (e.g. ``run_date=2024-02-01/run_id=*``) so an
+    incremental run lists and reads only the new run directories."""
+    glob = EVENTS_GLOB.replace(ALL_RUNS, runs, 1)
+    df = read_json(spark, f"{raw_root.rstrip('/')}/{glob}", schemas.RAW_EVENT, multiline=multiline, allow_missing=allow_missing)
     return df.withColumn("media_id", F.coalesce(F.col("media_id"), events_media_from_path("_source_file")))
 
 

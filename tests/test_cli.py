@@ -26,6 +26,12 @@ def test_land_transform_validate_profile(spark, tmp_path, capsys):
     counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert counts["fact_media_engagement"] == 1000
 
+    inc_root = str(tmp_path / "curated_inc")
+    assert cli.main(["transform", "--raw", raw_root, "--curated", inc_root, "--incremental",
+                     "--runs", "run_date=2024-02-01/run_id=*", "--channel-rule", "blog.=Blog"], spark) == 0
+    inc_counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert inc_counts == {k: counts[k] for k in inc_counts}
+
     assert cli.main(["validate", "--db", "reelstar_cli"], spark) == 0
     out = capsys.readouterr().out.splitlines()
     assert {"query": "sql_watch_minutes"} in [json.loads(x) for x in out]
