@@ -91,21 +91,25 @@ def _page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_geo(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """country/region/city of ``user_id`` via customer -> nation -> region.
+
+    Joined one table at a time, each a plain pruned scan, so the planner's
+    size check sees each table's own estimate (a joined customer-nation-region
+    frame would be estimated at the product of the three sizes and never
+    broadcast). customer grows with the data: broadcast while small, a
+    shuffle join (skew-split by AQE) beyond; nation and region are tiny.
+    """
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # customer grows with the data: the planner's size check decides between
-    # broadcast and a shuffle join; nation/region are tiny and broadcast.
     return (
-        customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
-        .join(region, nation.n_regionkey == region.r_regionkey, "left")
-        .select(
-            F.col("c_custkey"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("region"),
-            F.col("c_mktsegment").alias("city"),
-        )
+        events.join(customer, events.user_id == customer.c_custkey, "left")
+        .join(nation, F.col("c_nationkey") == nation.n_nationkey, "left")
+        .join(region, F.col("n_regionkey") == region.r_regionkey, "left")
+        .withColumnRenamed("n_name", "country")
+        .withColumnRenamed("r_name", "region")
+        .withColumnRenamed("c_mktsegment", "city")
     )
 
 
@@ -115,8 +119,7 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     e = e.withColumn("k", k).withColumn("page_id", (F.col("k") % PAGE_BUCKETS).cast("long"))
     pages = F.broadcast(_page_urls(spark, sf_dir))
-    geo = _geo(spark, sf_dir)
-    joined = e.join(pages, "page_id", "left").join(geo, e.user_id == geo.c_custkey, "left")
+    joined = _with_geo(e.join(pages, "page_id", "left"), spark, sf_dir)
     uid = F.col("user_id")
     return joined.select(
         F.concat(F.lit("ev-"), F.col("event_id").cast("string")).alias("event_key"),
