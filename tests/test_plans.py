@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from reelstar.plans import star as st
@@ -67,3 +68,19 @@ def test_golden_stage_counts_sf0001(spark):
     # FIXTURES.md section 5, computed independently with DuckDB.
     got = {r.stage: r.row_count for r in entry.queries()["stage_counts"](spark, SF).collect()}
     assert got == {"raw_events": 1175, "unique_events": 1000, "dim_media": 165, "dim_visitor": 15, "fact_media_engagement": 1000}
+
+
+def test_curated_fact_prunes_partitions_and_columns(spark, tmp_path):
+    from reelstar.plans import pipeline
+    from reelstar.sources import raw
+
+    curated = str(tmp_path / "curated")
+    pipeline.run_transform(spark, fx.raw_events(spark, SF), fx.raw_metadata(spark, SF), fx.raw_stats(spark, SF), curated)
+    fact = raw.read_curated(spark, curated, "fact_media_engagement")
+    q = fact.where(F.col("date") == F.lit("2024-01-10").cast("date")).groupBy("media_id").agg(F.sum("total_watch_time"))
+    formatted = q._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert re.search(r"PartitionFilters: \[.*date.*2024-01-10", formatted)  # only that day's directory is listed/read
+    assert "ReadSchema: struct<media_id:string,total_watch_time:double>" in formatted  # 2 of 9 columns
+    assert q.count() > 0
