@@ -64,10 +64,17 @@ def test_small_dimension_lookups_are_broadcast(spark):
     assert len(re.findall(r"BroadcastHashJoin \[media_id#\d+\]", text)) >= 2
 
 
-def test_golden_stage_counts_sf0001(spark):
+GOLDEN = {
     # FIXTURES.md section 5, computed independently with DuckDB.
-    got = {r.stage: r.row_count for r in entry.queries()["stage_counts"](spark, SF).collect()}
-    assert got == {"raw_events": 1175, "unique_events": 1000, "dim_media": 165, "dim_visitor": 15, "fact_media_engagement": 1000}
+    "/root/testdata/sf0.001": {"raw_events": 1175, "unique_events": 1000, "dim_media": 165, "dim_visitor": 15, "fact_media_engagement": 1000},
+    "/root/testdata/sf0.01": {"raw_events": 11660, "unique_events": 10000, "dim_media": 1689, "dim_visitor": 150, "fact_media_engagement": 10000},
+}
+
+
+@pytest.mark.parametrize("sf_dir", sorted(GOLDEN))
+def test_golden_stage_counts(spark, sf_dir):
+    got = {r.stage: r.row_count for r in entry.queries()["stage_counts"](spark, sf_dir).collect()}
+    assert got == GOLDEN[sf_dir]
 
 
 def test_curated_fact_prunes_partitions_and_columns(spark, tmp_path):
