@@ -27,8 +27,16 @@ def write_table(
     partition_by: tuple[str, ...] = (),
     mode: str = "overwrite",
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    rebalance: bool = True,
 ) -> None:
-    if partition_by:
+    """Write Parquet; with ``partition_by``, rebalance on the partition columns first.
+
+    The rebalance costs one shuffle of the (narrow) output and bounds the file
+    count: without it every write task emits one file per partition value it
+    holds (tasks x days small files). Pass ``rebalance=False`` when the input
+    is already clustered by the partition columns.
+    """
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
