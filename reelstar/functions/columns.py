@@ -144,11 +144,14 @@ def pages_for(fetched: ColumnOrName, page_size: int = EVENT_PAGE_SIZE) -> Column
 
 
 def newer_mark(old_mark: ColumnOrName, candidate: ColumnOrName) -> Column:
-    """Keep the string whose parsed instant is later; ties keep the old mark."""
+    """Keep the string whose parsed instant is later; ties keep the old mark.
+
+    An old mark that is missing or does not parse is replaced by the candidate.
+    """
     old_mark, candidate = _c(old_mark), _c(candidate)
     return (
-        F.when(old_mark.isNull(), candidate)
-        .when(candidate.isNull(), old_mark)
+        F.when(candidate.isNull(), old_mark)
+        .when(parse_ts(old_mark).isNull(), candidate)
         .when(parse_ts(candidate) > parse_ts(old_mark), candidate)
         .otherwise(old_mark)
     )

@@ -25,7 +25,9 @@ Semantics kept from the reference:
 * mode is ``incremental`` when a mark existed, else ``full``.
 
 Changed on purpose: a non-blank timestamp that does not parse is rejected
-and counted (``events_rejected``) instead of aborting the run.
+and counted (``events_rejected``) instead of aborting the run; a stored mark
+that does not parse is treated as absent (full reload of that media, then a
+good mark replaces it) instead of aborting.
 """
 
 from __future__ import annotations
@@ -74,7 +76,9 @@ def plan_landing(
     ev = src.join(marks, "media_id", "left")
     ev = ev.withColumn(TS, fn.parse_ts("received_at")).withColumn(MARK_TS, fn.parse_ts(MARK))
 
-    has_mark = F.col(MARK).isNotNull()
+    # A mark that does not parse counts as no mark: the media reloads in full
+    # (dedup removes the copies) instead of never landing again.
+    has_mark = F.col(MARK_TS).isNotNull()
     cutoff = F.col(MARK_TS)
     fetch_from = fn.mark_day_start(MARK)
     if lookback_seconds:
@@ -111,7 +115,7 @@ def plan_landing(
         F.lit(run_id).alias("run_id"),
         F.lit(run_date).alias("run_date"),
         F.col("media_id"),
-        F.when(F.col(MARK).isNotNull(), F.lit("incremental")).otherwise(F.lit("full")).alias("mode"),
+        F.when(fn.parse_ts(MARK).isNotNull(), F.lit("incremental")).otherwise(F.lit("full")).alias("mode"),
         F.col(MARK).alias("checkpoint_before"),
         fn.newer_mark(MARK, "__newest").alias("checkpoint_after"),
         fn.pages_for(fetched_n, page_size).alias("pages_fetched"),

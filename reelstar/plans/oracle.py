@@ -149,9 +149,9 @@ land_ev AS (
   WHERE s.media_id IN (SELECT media_id FROM configured_media)),
 land_fetched AS (
   SELECT *, (received_at IS NOT NULL AND received_at <> '' AND __ts IS NOT NULL
-             AND (__mark IS NULL OR __ts > {cutoff})) AS __saved
+             AND (__mark_ts IS NULL OR __ts > {cutoff})) AS __saved
   FROM land_ev
-  WHERE __mark IS NULL OR __ts IS NULL OR __ts >= {fetch_from}),
+  WHERE __mark_ts IS NULL OR __ts IS NULL OR __ts >= {fetch_from}),
 land_agg AS (
   SELECT media_id, COUNT(*) AS events_fetched,
          COUNT(*) FILTER (WHERE __saved) AS events_saved,
@@ -160,10 +160,10 @@ land_agg AS (
   FROM land_fetched GROUP BY media_id),
 run_manifest AS (
   SELECT '20240201T060000Z' AS run_id, '2024-02-01' AS run_date, c.media_id,
-         CASE WHEN st.last_received_at IS NOT NULL THEN 'incremental' ELSE 'full' END AS mode,
+         CASE WHEN {_p('st.last_received_at')} IS NOT NULL THEN 'incremental' ELSE 'full' END AS mode,
          st.last_received_at AS checkpoint_before,
-         CASE WHEN st.last_received_at IS NULL THEN a.__newest
-              WHEN a.__newest IS NULL THEN st.last_received_at
+         CASE WHEN a.__newest IS NULL THEN st.last_received_at
+              WHEN {_p('st.last_received_at')} IS NULL THEN a.__newest
               WHEN {_p('a.__newest')} > {_p('st.last_received_at')} THEN a.__newest
               ELSE st.last_received_at END AS checkpoint_after,
          CAST(ceil(COALESCE(a.events_fetched, 0) / 100.0) AS BIGINT) AS pages_fetched,

@@ -263,3 +263,12 @@ def test_lookback_into_the_previous_day_fetches_that_day(spark):
     assert strict.fetched.count() == 0
     back = plan_landing(src, state_df(spark, {"a": mark}), run_id="r", run_date="d", lookback_seconds=3600)
     assert [r.event_key for r in back.saved.collect()] == ["late-prev-day"]
+
+
+def test_unparseable_mark_reloads_in_full_and_is_replaced(spark):
+    src = events_df(spark, [ev(event_key="e1", media_id="a", received_at="2026-08-15T09:00:00.000Z")])
+    plan = plan_landing(src, state_df(spark, {"a": "garbage"}), run_id="r", run_date="d")
+    m = by(plan.manifest, "media_id")["a"]
+    assert (m["mode"], m["checkpoint_before"], m["checkpoint_after"], m["events_saved"]) == (
+        "full", "garbage", "2026-08-15T09:00:00.000Z", 1)
+    assert {r.media_id: r.last_received_at for r in plan.new_state.collect()} == {"a": "2026-08-15T09:00:00.000Z"}
