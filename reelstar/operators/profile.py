@@ -34,7 +34,7 @@ def field_profile(spark: SparkSession, records: DataFrame, json_col: str = "json
     return spark.sql(
         f"""
         SELECT f.key AS field, {_json_type('schema_of_variant(f.value)')} AS json_type, COUNT(*) AS records
-        FROM (SELECT parse_json({json_col}) AS v FROM {{src}}) t,
+        FROM (SELECT try_parse_json({json_col}) AS v FROM {{src}}) t,
              LATERAL variant_explode_outer(t.v) AS f
         WHERE f.key IS NOT NULL
         GROUP BY 1, 2
@@ -53,7 +53,7 @@ def nested_profile(spark: SparkSession, records: DataFrame, json_col: str = "jso
         f"""
         WITH top AS (
           SELECT f.key AS parent, f.value AS v
-          FROM (SELECT parse_json({json_col}) AS v FROM {{src}}) t,
+          FROM (SELECT try_parse_json({json_col}) AS v FROM {{src}}) t,
                LATERAL variant_explode_outer(t.v) AS f
           WHERE f.key IS NOT NULL
             AND (schema_of_variant(f.value) LIKE 'OBJECT%' OR schema_of_variant(f.value) LIKE 'ARRAY%')

@@ -272,3 +272,13 @@ def test_unparseable_mark_reloads_in_full_and_is_replaced(spark):
     assert (m["mode"], m["checkpoint_before"], m["checkpoint_after"], m["events_saved"]) == (
         "full", "garbage", "2026-08-15T09:00:00.000Z", 1)
     assert {r.media_id: r.last_received_at for r in plan.new_state.collect()} == {"a": "2026-08-15T09:00:00.000Z"}
+
+
+def test_profile_skips_malformed_records(spark):
+    from reelstar.operators import profile as pf
+
+    recs = spark.createDataFrame([('{"a": 1, "b": {"c": true}}',), ("not json",), ('{"a": "x"}',)], "json string")
+    got = sorted((r.field, r.json_type, r.records) for r in pf.field_profile(spark, recs).collect())
+    assert got == [("a", "number", 1), ("a", "string", 1), ("b", "object", 1)]
+    nested = [(r.field, r.json_type) for r in pf.nested_profile(spark, recs).collect()]
+    assert nested == [("b.c", "boolean")]
