@@ -96,17 +96,46 @@ def stats_media_id(path: F.Column | str) -> F.Column:
 
 
 def scan_events(
-    spark: SparkSession, raw_root: str, *, multiline: bool = False, allow_missing: bool = False, runs: str = ALL_RUNS
+    spark: SparkSession,
+    raw_root: str,
+    *,
+    multiline: bool = False,
+    allow_missing: bool = False,
+    runs: str = ALL_RUNS,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Every landed event of the selected runs (all by default). Payload
     ``media_id`` wins; the path id fills in for ``partitionBy('media_id')`` files.
     ``runs`` narrows the glob (e.g. ``run_date=2024-02-01/run_id=*``) so an
-    incremental run lists and reads only the new run directories."""
+    incremental run lists and reads only the new run directories. With
+    ``keep_corrupt`` malformed records keep their text in ``_corrupt_record``
+    (see :func:`split_corrupt`)."""
     glob = EVENTS_GLOB.replace(ALL_RUNS, runs, 1)
-    df = read_json(spark, f"{raw_root.rstrip('/')}/{glob}", schemas.RAW_EVENT, multiline=multiline, allow_missing=allow_missing)
+    df = read_json(
+        spark,
+        f"{raw_root.rstrip('/')}/{glob}",
+        schemas.RAW_EVENT,
+        multiline=multiline,
+        allow_missing=allow_missing,
+        keep_corrupt=keep_corrupt,
+    )
     return df.withColumn("media_id", F.coalesce(F.col("media_id"), events_media_from_path("_source_file")))
 
 
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Separate malformed records from good ones (a quarantine, not a drop).
+
+    Returns ``(good, corrupt)``: ``good`` without the corrupt-record column,
+    ``corrupt`` with the raw text and its source file, to be written aside and
+    counted. Both are lazy filters of the same scan.
+    """
+    if CORRUPT not in df.columns:
+        return df, df.where(F.lit(False))
+    good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    corrupt = df.where(F.col(CORRUPT).isNotNull()).select("event_key", CORRUPT, "_source_file")
+    return good, corrupt
+
+
 def scan_metadata(spark: SparkSession, raw_root: str, *, multiline: bool = False, allow_missing: bool = False) -> DataFrame:
     """S3: every media-metadata snapshot."""
     return read_json(spark, f"{raw_root.rstrip('/')}/{METADATA_GLOB}", schemas.RAW_METADATA, multiline=multiline, allow_missing=allow_missing)

@@ -185,3 +185,19 @@ def test_stream_dedup_forgets_beyond_the_watermark(spark, tmp_path):
     assert sorted(r.event_key for r in spark.read.parquet(out).collect()) == ["k", "z"]
     # The batch transform's dedup is exact over all history regardless.
     assert st.dedup_events(raw.scan_events(spark, raw_root)).count() == 2
+
+
+def test_malformed_records_are_quarantined(spark, tmp_path):
+    page = tmp_path / "raw" / "run_date=2026-08-15" / "run_id=20260815T060000Z" / "events" / "media_id=m1" / "part-0.json"
+    page.parent.mkdir(parents=True)
+    page.write_text(
+        '{"event_key": "a", "media_id": "m1", "received_at": "2026-08-15T07:51:28.000Z"}\n'
+        "{this is not json\n"
+        '{"event_key": "b", "media_id": "m1", "received_at": "2026-08-15T08:00:00.000Z"}\n'
+    )
+    df = raw.scan_events(spark, str(tmp_path / "raw"), keep_corrupt=True)
+    good, corrupt = raw.split_corrupt(df)
+    assert sorted(r.event_key for r in good.collect()) == ["a", "b"]
+    bad = corrupt.collect()
+    assert len(bad) == 1 and bad[0]._corrupt_record == "{this is not json" and bad[0]._source_file.endswith("part-0.json")
+    assert "_corrupt_record" not in good.columns
