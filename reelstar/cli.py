@@ -63,15 +63,23 @@ def cmd_transform(spark: SparkSession, a: argparse.Namespace) -> int:
         )
         print(json.dumps(counts))
         return 0
+    events = raw.scan_events(spark, a.raw, multiline=a.multiline, keep_corrupt=bool(a.quarantine))
+    quarantined = None
+    if a.quarantine:
+        events, corrupt = raw.split_corrupt(events)
+        corrupt.write.mode("overwrite").json(a.quarantine)
+        quarantined = spark.read.json(a.quarantine).count()
     counts = pipeline.run_transform(
         spark,
-        raw.scan_events(spark, a.raw, multiline=a.multiline),
+        events,
         raw.scan_metadata(spark, a.raw, multiline=a.multiline, allow_missing=True),
         raw.scan_stats(spark, a.raw, multiline=a.multiline, allow_missing=True),
         a.curated,
         channel_rules=_rules(a.channel_rule),
         db=a.db,
     )
+    if quarantined is not None:
+        counts["quarantined_records"] = quarantined
     print(json.dumps(counts))
     return 0
 
@@ -125,6 +133,7 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--db", default=None)
     t.add_argument("--multiline", action="store_true", help="raw files are JSON arrays (one document per file)")
     t.add_argument("--channel-rule", action="append", help="needle=Label, in priority order")
+    t.add_argument("--quarantine", default=None, help="write malformed event records here (JSON) instead of transforming them")
     t.add_argument("--incremental", action="store_true", help="merge only --runs into the dedup store, then rebuild")
     t.add_argument("--runs", default=raw.ALL_RUNS, help="run glob for --incremental, e.g. 'run_date=2024-02-01/run_id=*'")
     t.set_defaults(run=cmd_transform)

@@ -26,6 +26,15 @@ def test_land_transform_validate_profile(spark, tmp_path, capsys):
     counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert counts["fact_media_engagement"] == 1000
 
+    # a malformed record is quarantined, not transformed
+    bad_dir = tmp_path / "raw" / "run_date=2024-02-02" / "run_id=20240202T060000Z" / "events" / "media_id=m1"
+    bad_dir.mkdir(parents=True)
+    (bad_dir / "part-bad.json").write_text("{broken\n")
+    q_root, q_path = str(tmp_path / "curated_q"), str(tmp_path / "quarantine")
+    assert cli.main(["transform", "--raw", raw_root, "--curated", q_root, "--quarantine", q_path], spark) == 0
+    q_counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert q_counts["quarantined_records"] == 1 and q_counts["fact_media_engagement"] == 1000
+
     inc_root = str(tmp_path / "curated_inc")
     assert cli.main(["transform", "--raw", raw_root, "--curated", inc_root, "--incremental",
                      "--runs", "run_date=2024-02-01/run_id=*", "--channel-rule", "blog.=Blog"], spark) == 0
