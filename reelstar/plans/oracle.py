@@ -357,6 +357,17 @@ ORACLE: dict[str, str] = {
                   CAST(NULL AS BIGINT) AS min_array_length, CAST(NULL AS BIGINT) AS max_array_length
            FROM kids GROUP BY 1, 2, 3"""
     ),
+    "profile_snapshots": _q(
+        f""", recs_m AS (
+             SELECT to_json({{'hashed_id': hashed_id, 'name': name, 'created': created, 'updated': updated,
+                              'duration': duration, 'status': status}}) AS j FROM raw_metadata),
+           kv_m AS (SELECT j, unnest(json_keys(j)) AS field FROM recs_m),
+           recs_s AS (SELECT to_json({{'play_rate': play_rate}}) AS j FROM raw_stats),
+           kv_s AS (SELECT j, unnest(json_keys(j)) AS field FROM recs_s)
+           SELECT field, {_JSON_TYPE} AS json_type, COUNT(*) AS records, 'media_metadata' AS source FROM kv_m GROUP BY 1, 2
+           UNION ALL
+           SELECT field, {_JSON_TYPE} AS json_type, COUNT(*) AS records, 'media_stats' AS source FROM kv_s GROUP BY 1, 2"""
+    ),
     "visitor_last_event": _q(
         """SELECT v.visitor_key, v.event_key AS last_event_key, e.media_id AS last_media_id,
                   e.received_at AS last_received_at

@@ -308,6 +308,15 @@ def q_profile_nested(spark, sf):
     return pf.nested_profile(spark, pf.records_as_json(fx.source_events(spark, sf)))
 
 
+def q_profile_snapshots(spark, sf):
+    """Q1/Q2 for the metadata and stats payloads (all records of both runs)."""
+    meta = pf.records_as_json(fx.raw_metadata(spark, sf).drop("_source_file"))
+    stats = pf.records_as_json(fx.raw_stats(spark, sf).drop("_source_file"))
+    return pf.field_profile(spark, meta).withColumn("source", F.lit("media_metadata")).unionByName(
+        pf.field_profile(spark, stats).withColumn("source", F.lit("media_stats"))
+    )
+
+
 def q_visitor_last_event(spark, sf):
     ev = st.dedup_events(fx.raw_events(spark, sf))
     visitors = st.latest_visitor(ev).select("visitor_key", F.col("event_key").alias("last_event_key"))
@@ -356,5 +365,6 @@ QUERIES: dict[str, Query] = {
     "dq_report": q_dq_report,
     "profile_fields": q_profile_fields,
     "profile_nested": q_profile_nested,
+    "profile_snapshots": q_profile_snapshots,
     "visitor_last_event": q_visitor_last_event,
 }
