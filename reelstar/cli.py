@@ -11,8 +11,10 @@
 * ``profile`` — field/type profile of raw JSON records (one record per line,
   or one document per file with ``--multiline``).
 
-Results that are reports (SQL answers, manifest, profile) are printed as
-JSON lines; they are small by construction (aggregates).
+Reports are printed as JSON lines, at most ``--limit`` rows each (a preview
+taken with ``limit``; nothing unbounded is collected to the driver). Full
+results stay distributed: the manifest is written in the run directory, and
+``validate --out PATH`` writes each query's answer as Parquet.
 """
 
 from __future__ import annotations
@@ -44,9 +46,8 @@ def _rules(values: list[str] | None):
     return tuple(out)
 
 
-def _print_rows(df, limit: int | None = None) -> None:
-    rows = df.limit(limit).collect() if limit else df.collect()
-    for r in rows:
+def _print_rows(df, limit: int = 100) -> None:
+    for r in df.limit(limit).collect():
         print(json.dumps(r.asDict(recursive=True), default=str))
 
 
@@ -91,14 +92,17 @@ def cmd_land(spark: SparkSession, a: argparse.Namespace) -> int:
     manifest = pipeline.run_landing(
         spark, source, media, a.state, a.raw, run_id=a.run_id, run_date=a.run_date, lookback_seconds=a.lookback_seconds
     )
-    _print_rows(manifest.orderBy("media_id"))
+    _print_rows(manifest.orderBy("media_id"), a.limit)
     return 0
 
 
 def cmd_validate(spark: SparkSession, a: argparse.Namespace) -> int:
     for name, sql in an.SQL.items():
+        result = spark.sql(sql.format(db=a.db))
+        if a.out:
+            result.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{name}")
         print(json.dumps({"query": name}))
-        _print_rows(spark.sql(sql.format(db=a.db)))
+        _print_rows(result, a.limit)
     fact = spark.table(f"{a.db}.fact_media_engagement")
     report = dq.quality_report(fact, spark.table(f"{a.db}.dim_media"), spark.table(f"{a.db}.dim_visitor"))
     row = report.first().asDict()
@@ -115,9 +119,9 @@ def cmd_profile(spark: SparkSession, a: argparse.Namespace) -> int:
         records = records.select(
             F.explode(F.coalesce(F.from_json("json", "array<string>"), F.array("json"))).alias("json")
         )
-    _print_rows(pf.field_profile(spark, records).orderBy("field", "json_type"))
+    _print_rows(pf.field_profile(spark, records).orderBy("field", "json_type"), a.limit)
     if a.nested:
-        _print_rows(pf.nested_profile(spark, records).orderBy("field", "json_type"))
+        _print_rows(pf.nested_profile(spark, records).orderBy("field", "json_type"), a.limit)
     return 0
 
 
@@ -125,6 +129,7 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="reelstar")
     p.add_argument("--master", default=None)
     p.add_argument("--shuffle-partitions", type=int, default=None)
+    p.add_argument("--limit", type=int, default=100, help="rows printed per report (a preview)")
     sub = p.add_subparsers(dest="command", required=True)
 
     t = sub.add_parser("transform")
@@ -152,6 +157,7 @@ def parser() -> argparse.ArgumentParser:
     v = sub.add_parser("validate")
     v.add_argument("--db", required=True)
     v.add_argument("--fail-on-quality", action="store_true")
+    v.add_argument("--out", default=None, help="write every query's full answer as Parquet under this path")
     v.set_defaults(run=cmd_validate)
 
     pr = sub.add_parser("profile")

@@ -15,7 +15,7 @@ def test_land_transform_validate_profile(spark, tmp_path, capsys):
     src = str(tmp_path / "source")
     fx.source_events(spark, SF).write.parquet(src)
     raw_root, state, curated = str(tmp_path / "raw"), str(tmp_path / "state"), str(tmp_path / "curated")
-    assert cli.main(["land", "--source", src, "--state", state, "--raw", raw_root,
+    assert cli.main(["--limit", "100000", "land", "--source", src, "--state", state, "--raw", raw_root,
                      "--run-id", "20240201T060000Z", "--run-date", "2024-02-01"], spark) == 0
     manifest = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
     assert sum(m["events_saved"] for m in manifest) == 1000 and {m["mode"] for m in manifest} == {"full"}
@@ -41,8 +41,11 @@ def test_land_transform_validate_profile(spark, tmp_path, capsys):
     inc_counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert inc_counts == {k: counts[k] for k in inc_counts}
 
-    assert cli.main(["validate", "--db", "reelstar_cli"], spark) == 0
+    answers = str(tmp_path / "answers")
+    assert cli.main(["--limit", "3", "validate", "--db", "reelstar_cli", "--out", answers], spark) == 0
     out = capsys.readouterr().out.splitlines()
+    full = spark.read.parquet(f"{answers}/sql_by_media").count()
+    assert full > 3 and sum(1 for x in out if '"estimated_watch_seconds"' in x) == 3  # preview only, full answer written
     assert {"query": "sql_watch_minutes"} in [json.loads(x) for x in out]
     assert json.loads(out[-1])["quality"]["fact_rows"] == 1000
     assert cli.main(["validate", "--db", "reelstar_cli", "--fail-on-quality"], spark) == 2  # unknown media -> orphans
