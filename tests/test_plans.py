@@ -32,12 +32,14 @@ def test_top1_runs_partially_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_python_in_query_plans(spark, name):
+def test_no_python_and_no_cross_join_in_query_plans(spark, name):
     df = entry.queries()[name](spark, SF)
     formatted = df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
     assert not any(node in formatted for node in PYTHON_NODES), name
+    # no cross joins / all-pairs work anywhere
+    assert "CartesianProduct" not in formatted and "BroadcastNestedLoopJoin" not in formatted, name
 
 
 def test_page_lookup_is_pruned_and_pushed_down(spark):
