@@ -31,7 +31,7 @@ def test_top1_runs_partially_before_the_shuffle(spark):
     assert "Exchange" in text or "Exchange" in formatted
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry._registry.QUERIES))
 def test_no_python_and_no_cross_join_in_query_plans(spark, name):
     df = entry.queries()[name](spark, SF)
     formatted = df._jdf.queryExecution().explainString(
