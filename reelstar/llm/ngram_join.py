@@ -38,8 +38,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .coded import slices
 from .common import checkpointed, connected_components, staged
-from .shingles import shingle_set
+from .shingles import shingle_sets
 
 BUCKETS = 1 << 18  # counters of the common order: 2 MB on each executor
 LARGEST_LIGHT = 24  # no boundary above this is considered
@@ -80,8 +81,10 @@ def least_listed(boundary: int, percent: int) -> int:
     return -(-percent * (boundary + 1) // 100)
 
 
-def _texts(batch: pa.RecordBatch):
-    return zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
+def _sets_of(batches, width: int, name: str = "doc_id"):
+    """Per slice of the batches, pairs of a row's name and its set."""
+    for part in (part for whole in batches for part in slices(whole)):
+        yield zip(part.column(name).to_pylist(), shingle_sets(part.column("text"), width))
 
 
 def _sizes(width: int):
@@ -89,10 +92,9 @@ def _sizes(width: int):
 
     def run(batches):
         counts = np.zeros(BUCKETS, dtype=np.int64)
-        for batch in batches:
+        for found in _sets_of(batches, width):
             ids, sizes, nodes, met = [], [], [], [np.zeros(0, dtype=np.int64)]
-            for doc_id, text in _texts(batch):
-                own = shingle_set(text, width)
+            for doc_id, own in found:
                 ids.append(doc_id)
                 sizes.append(len(own))
                 nodes.append(_node(own))
@@ -125,10 +127,9 @@ def _entries(width: int, percent: int, boundary: int, order):
     def run(batches):
         frequent = order.value
         met: set[int] = set()
-        for batch in batches:
-            keys, nodes, sizes, others, ranks = [], [], [], [], []
-            for doc_id, text in _texts(batch):
-                own = shingle_set(text, width)
+        for found in _sets_of(batches, width):
+            keys, nodes, sizes, others = [], [], [], []
+            for doc_id, own in found:
                 n, node = len(own), _node(own)
                 if n == 0 or doc_id is None or node in met:
                     continue
@@ -171,11 +172,8 @@ def _subset_key(a: int, b: int, subset: tuple[int, ...]) -> int:
 
 def _sets(width: int):
     def run(batches):
-        for batch in batches:
-            nodes, sets = [], []
-            for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
-                nodes.append(node)
-                sets.append(shingle_set(text, width).tobytes())
+        for found in _sets_of(batches, width, "node"):
+            nodes, sets = zip(*((node, own.tobytes()) for node, own in found))
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "grams"])
 
     return run

@@ -7,31 +7,19 @@ are 64 bits wide, so a false match of two given shingles has odds of 2^-64.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
+from .coded import split_codes
+
+#: A-Z to lower case, the white space of ASCII to spaces
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + 5 * b" ")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-_WORDS: dict[bytes, int] = {}
-_MOST_WORDS = 500_000  # entries a Python worker keeps; cleared beyond, never wrong
-
-
-def words(text: str | None) -> list[bytes]:
-    return text.encode().lower().split() if text else []
-
-
-def word_hashes(found: list[bytes]) -> np.ndarray:
-    if len(_WORDS) > _MOST_WORDS:
-        _WORDS.clear()
-    get, out = _WORDS.get, []
-    for w in found:
-        h = get(w)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(w)
-            if len(w) <= 64:
-                _WORDS[w] = h
-        out.append(h)
-    return np.array(out, dtype=np.uint64)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -39,18 +27,28 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(27))
 
 
-def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of ``width`` words in order; of all words if fewer; none for none."""
-    n = len(hashes)
-    if n == 0:
-        return hashes
-    width = min(width, n)
-    out = np.full(n - width + 1, width, dtype=np.uint64)
+def _runs(hashes: np.ndarray, width: int) -> np.ndarray:
+    out = np.full(max(len(hashes) - width + 1, 0), width, dtype=np.uint64)
     for i in range(width):
-        out = _mixed(out * _MUL + hashes[i : n - width + 1 + i])
+        out = _mixed(out * _MUL + hashes[i : len(hashes) - width + 1 + i])
     return out
 
 
+def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct hashes of its runs of ``width`` words; of all words if fewer; none for none."""
+    plain = [t.encode().translate(_PLAIN) if t else b"" for t in texts.to_pylist()]
+    codes, offsets, words = split_codes(pc.split_pattern(pa.array(plain, pa.large_binary()), b" "))
+    if not len(words):
+        yield from (np.zeros(0, dtype=np.uint64) for _ in range(len(texts)))
+        return
+    own = np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64)
+    real = np.array([len(w) > 0 for w in words])[codes]  # white space in a row leaves empty words
+    hashes = own[codes][real]
+    offsets = np.concatenate([[0], np.cumsum(real)])[offsets]
+    whole = _runs(hashes, width)
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+        yield np.unique(whole[a : b - width + 1]) if b - a >= width else _runs(hashes[a:b], b - a) if b > a else hashes[:0]
+
+
 def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    return np.unique(shingles(word_hashes(words(text)), width))
+    return next(shingle_sets(pa.array([text], pa.large_string()), width))
