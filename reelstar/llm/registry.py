@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from .bottom_k import fingerprint_edits
 from .common import table
+from .lexicon_bpe import encode_decode
 from .ngram_join import jaccard_groups
 from .packing import pack
 from .token_files import token_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op4_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,11 +31,15 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0).drop("token_ids")
 
 
+def op8_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bottom_k_fingerprints, op5_token_files, op6_packing, op10_ngram_join)
+    f.__name__: f for f in (op4_bottom_k_fingerprints, op5_token_files, op6_packing, op8_lexicon_bpe, op10_ngram_join)
 }
 ORACLE: dict[str, str] = {}
