@@ -12,13 +12,23 @@ from .bottom_k import fingerprint_edits
 from .common import table
 from .lexicon_bpe import encode_decode
 from .ngram_join import jaccard_groups
+from .nbsvm import quality_scores
 from .packing import pack
+from .rp_forest import nearest
 from .token_files import token_table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -40,6 +50,6 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_bottom_k_fingerprints, op5_token_files, op6_packing, op8_lexicon_bpe, op10_ngram_join)
+    f.__name__: f for f in (op1_rp_forest, op3_nbsvm_quality, op4_bottom_k_fingerprints, op5_token_files, op6_packing, op8_lexicon_bpe, op10_ngram_join)
 }
 ORACLE: dict[str, str] = {}
