@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bottom_k import fingerprint_edits
 from .common import table
+from .crf_language import identify
 from .lexicon_bpe import encode_decode
 from .ngram_join import jaccard_groups
 from .nbsvm import quality_scores
@@ -41,6 +42,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0).drop("token_ids")
 
 
+def op7_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents")).drop("runs")
+
+
 def op8_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -50,6 +55,6 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_rp_forest, op3_nbsvm_quality, op4_bottom_k_fingerprints, op5_token_files, op6_packing, op8_lexicon_bpe, op10_ngram_join)
+    f.__name__: f for f in (op1_rp_forest, op3_nbsvm_quality, op4_bottom_k_fingerprints, op5_token_files, op6_packing, op7_crf_language, op8_lexicon_bpe, op10_ngram_join)
 }
 ORACLE: dict[str, str] = {}
