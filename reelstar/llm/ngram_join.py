@@ -39,12 +39,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .coded import slices
-from .common import checkpointed, connected_components, staged
+from .common import connected_components, staged
+from .links import grouped_links
 from .shingles import shingle_sets
 
 BUCKETS = 1 << 18  # counters of the common order: 2 MB on each executor
 LARGEST_LIGHT = 24  # no boundary above this is considered
-PIVOT_ROUNDS = 4  # before all pairs between different groups are checked
 ROW_COST, CHECK_COST = 1.0, 4.0  # a key row; a list row with its checks
 
 
@@ -173,7 +173,9 @@ def _subset_key(a: int, b: int, subset: tuple[int, ...]) -> int:
 def _sets(width: int):
     def run(batches):
         for found in _sets_of(batches, width, "node"):
-            nodes, sets = zip(*((node, own.tobytes()) for node, own in found))
+            # rows that share a doc_id may have other texts: their sets are other nodes
+            same = [(node, own.tobytes()) for node, own in found if node == _node(own)]
+            nodes, sets = zip(*same) if same else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "grams"])
 
     return run
@@ -263,49 +265,16 @@ def _heavy_edges(
     )
     lists = staged(spark, lists.join(first.select("key"), "key"), "jaccard-lists").distinct()
 
-    def fits(a: str, b: str) -> str:
-        return (
-            f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b}) and greatest({a}, {b}) > {boundary}"
-        )
-
     needed = lists.select("node").distinct()
     reps = sets.join(needed, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    texts = docs.join(reps, "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.join(reps, "doc_id")
     grams = staged(spark, texts.mapInArrow(_sets(width), "node long, grams binary"), "jaccard-sets")
     a_s = grams.select(F.col("node").alias("a"), F.col("grams").alias("a_grams"))
     b_s = grams.select(F.col("node").alias("b"), F.col("grams").alias("b_grams"))
 
     def checked(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         return pairs.join(a_s, "a").join(b_s, "b").mapInArrow(_linked(percent), "a long, b long")
 
-    # Round 1: the smallest set of each list against the others.
-    pivots = first.select("key", F.col("low.node").alias("a"), F.col("low.n").alias("an"))
-    links = checkpointed(
-        spark, checked(lists.join(pivots, "key").where(f"node <> a and {fits('an', 'n')}").select("a", F.col("node").alias("b")))
-    )
-    done = pivots.select("key", F.col("a").alias("node"))
-    for turn in range(PIVOT_ROUNDS + 1):
-        groups = connected_components(spark, links)
-        rows = lists.join(groups, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        shares = rows.groupBy("key", "root").agg(F.count("*").alias("k"), F.min("node").alias("any"))
-        keys = shares.groupBy("key").agg(F.sum("k").alias("size"), F.sum(F.col("k") * F.col("k")).alias("squares"), F.count("*").alias("parts"))
-        keys = keys.where("parts > 1").withColumn("cross", F.expr("(size * size - squares) div 2"))
-        open_ = checkpointed(spark, rows.join(keys, "key"))
-        left, listed = keys.agg(F.sum("cross"), F.sum("size")).first()
-        if not left:
-            break
-        if turn == PIVOT_ROUNDS or left <= 16 * listed:
-            x = open_.select("key", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"))
-            y = open_.select("key", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"))
-            pairs = x.join(y, "key").where(f"a < b and ar <> br and {fits('an', 'bn')}").select("a", "b")
-            links = links.union(checkpointed(spark, checked(pairs)))
-            break
-        # Next pivot of a list: one not yet used, of the smallest group in it.
-        ranked = open_.join(done, ["key", "node"], "left_anti").join(shares.select("key", "root", "k"), ["key", "root"])
-        pivot = ranked.groupBy("key").agg(F.min(F.struct("k", F.xxhash64("node", F.lit(turn)), "node", "n", "root")).alias("p"))
-        pivot = pivot.select("key", F.col("p.node").alias("a"), F.col("p.n").alias("an"), F.col("p.root").alias("ar"))
-        pairs = open_.join(pivot, "key").where(f"node <> a and root <> ar and {fits('an', 'n')}").select("a", F.col("node").alias("b"))
-        links = checkpointed(spark, links.union(checked(pairs)))
-        done = checkpointed(spark, done.union(pivot.select("key", "a")))
-    return links.select("a", "b")
+    larger = "greatest(x_n, y_n)"
+    fits = f"100 * least(x_n, y_n) >= {percent} * {larger} and {larger} > {boundary}"
+    return grouped_links(spark, lists, ["n"], fits, checked)

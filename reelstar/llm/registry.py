@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bottom_k import fingerprint_edits
 from .common import table
 from .crf_language import identify
+from .fuzzy_lines import dedup_lines
 from .lexicon_bpe import encode_decode
 from .ngram_join import jaccard_groups
 from .nbsvm import quality_scores
@@ -50,11 +51,16 @@ def op8_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "text", "lines_removed")
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_rp_forest, op3_nbsvm_quality, op4_bottom_k_fingerprints, op5_token_files, op6_packing, op7_crf_language, op8_lexicon_bpe, op10_ngram_join)
+    f.__name__: f for f in (op1_rp_forest, op3_nbsvm_quality, op4_bottom_k_fingerprints, op5_token_files, op6_packing, op7_crf_language, op8_lexicon_bpe, op9_fuzzy_lines, op10_ngram_join)
 }
 ORACLE: dict[str, str] = {}
