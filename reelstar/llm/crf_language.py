@@ -41,7 +41,8 @@ LETTERS = 24
 BINS = 4  # of the lexicon's strength
 _AREA = 400_000  # words of the texts that are run through the chain together
 _RUNS = regex.compile(r"\p{L}+")
-_RESULT = "doc_id long, held_out boolean, lang_pred string, score double, runs array<struct<lang:string,words:int>>"
+_EXTRA = "held_out boolean, lang_pred string, score double, runs array<struct<lang:string,words:int>>"
+_RUN = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())]))
 
 
 def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -230,15 +231,15 @@ def _rows(place, n, lang, text) -> pa.RecordBatch:
     )
 
 
-def _labelled(chain):
+def _labelled(chain, carry: list[str]):
     def run(batches):
-        for batch in (part for whole in batches for part in slices(whole)):
-            found = label(chain.value, batch.column("text")) if chain else [("und", 0.0, [])] * batch.num_rows
+        for batch in (part for whole in batches for part in slices(whole, "text_")):
+            texts = batch.column("text_")
+            found = label(chain.value, texts) if chain else [("und", 0.0, [])] * batch.num_rows
             names, scores, runs = zip(*found)
-            kind = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())]))
+            made = [pa.array(names), pa.array(scores), pa.array(runs, _RUN)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(names), pa.array(scores), pa.array(runs, kind)],
-                names=["doc_id", "held_out", "lang_pred", "score", "runs"],
+                [batch.column(c) for c in [*carry, "held_out"]] + made, names=[*carry, "held_out", "lang_pred", "score", "runs"]
             )
 
     return run
@@ -273,11 +274,14 @@ def train(docs: DataFrame, fit_texts: int = FIT_TEXTS) -> Chain | None:
     return chain
 
 
-def identify(docs: DataFrame, fit_texts: int = FIT_TEXTS) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, runs`` of each row of ``docs`` (doc_id, text, lang)."""
+def identify(docs: DataFrame, fit_texts: int = FIT_TEXTS, carry: list[str] | None = None) -> DataFrame:
+    """``doc_id`` (or the columns of ``carry``), ``held_out, lang_pred, score, runs`` of each row of ``docs`` (doc_id, text, lang)."""
     spark: SparkSession = docs.sparkSession
     chain = train(docs, fit_texts)
     shared = spark.sparkContext.broadcast(chain) if chain else None
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text")
-    return rows.mapInArrow(_labelled(shared), _RESULT)
+    kept = docs.select(*carry) if carry else docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    names = kept.columns
+    rows = docs.select(*(carry or [F.col("doc_id").cast("long").alias("doc_id")]), held.alias("held_out"), F.col("text").alias("text_"))
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return rows.mapInArrow(_labelled(shared, names), f"{kind}, {_EXTRA}")

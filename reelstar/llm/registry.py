@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from .bottom_k import fingerprint_edits
 from .common import table
 from .crf_language import identify
@@ -16,17 +17,20 @@ from .lexicon_bpe import encode_decode
 from .ngram_join import jaccard_groups
 from .nbsvm import quality_scores
 from .packing import pack
+from .parameters import BYTE_BPE, PII_KEY, WORD_BPE
 from .rp_forest import nearest
+from .surrogates import replace_pii
 from .token_files import token_table
 
-BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-
 
 def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op3_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,7 +64,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_rp_forest, op3_nbsvm_quality, op4_bottom_k_fingerprints, op5_token_files, op6_packing, op7_crf_language, op8_lexicon_bpe, op9_fuzzy_lines, op10_ngram_join)
+    f.__name__: f for f in (op1_rp_forest, op2_pii_surrogates, op3_nbsvm_quality, op4_bottom_k_fingerprints, op5_token_files, op6_packing, op7_crf_language, op8_lexicon_bpe, op9_fuzzy_lines, op10_ngram_join, pipeline)
 }
 ORACLE: dict[str, str] = {}
