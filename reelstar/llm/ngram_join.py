@@ -45,6 +45,7 @@ from .shingles import shingle_sets
 
 BUCKETS = 1 << 18  # counters of the common order: 2 MB on each executor
 LARGEST_LIGHT = 24  # no boundary above this is considered
+MOST_SENT = 2_000_000  # nodes (32 MB) that are broadcast to find their texts; more are joined by a shuffle
 ROW_COST, CHECK_COST = 1.0, 4.0  # a key row; a list row with its checks
 
 
@@ -155,7 +156,7 @@ def _entries(width: int, percent: int, boundary: int, order):
                         others.append(np.full(len(made), m))
             if keys:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, nodes, sizes, others)],
+                    [pa.array(np.concatenate(x).astype(t)) for x, t in zip((keys, nodes, sizes, others), (np.int64, np.int64, np.int32, np.int32))],
                     names=["key", "node", "n", "m"],
                 )
 
@@ -213,7 +214,7 @@ def jaccard_groups(docs: DataFrame, width: int = 4, percent: int = 85, boundary:
     order = spark.sparkContext.broadcast(_common_order(found))
     entries = staged(
         spark,
-        docs.mapInArrow(_entries(width, percent, boundary, order), "key long, node long, n long, m long"),
+        docs.mapInArrow(_entries(width, percent, boundary, order), "key long, node long, n int, m int"),
         "jaccard-entries",
     )
     edges = _light_edges(entries).union(_heavy_edges(spark, docs, sets, entries, width, percent, boundary))
@@ -258,21 +259,19 @@ def _heavy_edges(
     spark: SparkSession, docs: DataFrame, sets: DataFrame, entries: DataFrame, width: int, percent: int, boundary: int
 ) -> DataFrame:
     lists = entries.where("m = 0").select("key", "node", "n")
-    first = (
-        lists.groupBy("key")
-        .agg(F.min(F.struct("n", "node")).alias("low"), F.max(F.struct("n", "node")).alias("high"))
-        .where("low.node <> high.node")
-    )
-    lists = staged(spark, lists.join(first.select("key"), "key"), "jaccard-lists").distinct()
-
-    needed = lists.select("node").distinct()
-    reps = sets.join(needed, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    texts = docs.join(reps, "doc_id")
-    grams = staged(spark, texts.mapInArrow(_sets(width), "node long, grams binary"), "jaccard-sets")
-    a_s = grams.select(F.col("node").alias("a"), F.col("grams").alias("a_grams"))
-    b_s = grams.select(F.col("node").alias("b"), F.col("grams").alias("b_grams"))
+    ends = lists.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y")
+    keys = staged(spark, ends.select("key"), "jaccard-keys")
+    lists = staged(spark, lists.join(keys, "key").distinct(), "jaccard-lists")
 
     def checked(pairs: DataFrame) -> DataFrame:
+        """Pairs that link, with the sets of their nodes made from one document each."""
+        pairs = staged(spark, pairs, "jaccard-pairs")
+        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        reps = staged(spark, sets.join(needed, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-nodes")
+        side = F.broadcast(reps) if reps.count() <= MOST_SENT else reps
+        grams = staged(spark, docs.join(side, "doc_id").mapInArrow(_sets(width), "node long, grams binary"), "jaccard-sets")
+        a_s = grams.select(F.col("node").alias("a"), F.col("grams").alias("a_grams"))
+        b_s = grams.select(F.col("node").alias("b"), F.col("grams").alias("b_grams"))
         return pairs.join(a_s, "a").join(b_s, "b").mapInArrow(_linked(percent), "a long, b long")
 
     larger = "greatest(x_n, y_n)"
