@@ -46,7 +46,7 @@ def grouped_links(
     alone = F.lit(None).cast("long").alias("root")
     found = checked(pairs_of(pivots.select("*", alone), lists.select("*", alone), "a <> b"))
     links = checkpointed(spark, found if known is None else found.union(known.select("a", "b")))
-    done = pivots.select("key", "node.node")
+    done = pivots.select(F.col("key").alias("used_key"), F.col("node.node").alias("used"))
     for turn in range(PIVOT_ROUNDS + 1):
         groups = connected_components(spark, links).select(F.col("node").alias("id"), "root")
         rows = lists.join(groups, F.col("node.node") == F.col("id"), "left").select("key", "node", F.coalesce("root", "node.node").alias("root"))
@@ -59,10 +59,10 @@ def grouped_links(
         open_ = checkpointed(spark, rows.join(sizes.select("key"), "key"))
         if turn == PIVOT_ROUNDS or left <= 16 * listed:
             return links.union(checkpointed(spark, checked(pairs_of(open_, open_, "a < b and x_root <> y_root"))))
-        unused = open_.join(done, (open_["key"] == done["key"]) & (F.col("node.node") == done["node"]), "left_anti")
+        unused = open_.join(done, (F.col("key") == F.col("used_key")) & (F.col("node.node") == F.col("used")), "left_anti")
         ranked = unused.join(shares, ["key", "root"])
         pivots = ranked.groupBy("key").agg(F.min(F.struct("k", F.xxhash64("node.node", F.lit(turn)).alias("h"), "node", "root")).alias("p"))
         pivots = checkpointed(spark, pivots.select("key", "p.node", "p.root"))
         links = checkpointed(spark, links.union(checked(pairs_of(pivots, open_, "x_root <> y_root"))))
-        done = checkpointed(spark, done.union(pivots.select("key", "node.node")))
+        done = checkpointed(spark, done.union(pivots.select("key", F.col("node.node"))))
     return links
