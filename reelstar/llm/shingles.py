@@ -28,7 +28,9 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _runs(hashes: np.ndarray, width: int) -> np.ndarray:
-    out = np.full(max(len(hashes) - width + 1, 0), width, dtype=np.uint64)
+    if len(hashes) < width:
+        return hashes[:0]
+    out = np.full(len(hashes) - width + 1, width, dtype=np.uint64)
     for i in range(width):
         out = _mixed(out * _MUL + hashes[i : len(hashes) - width + 1 + i])
     return out
