@@ -44,8 +44,8 @@ WORDS = 100_000  # lexicon size
 _MOST = 400_000  # words kept by a worker; cleared beyond
 _LONGEST = 64
 _SHORT = 128  # symbols of a word merged without a heap
-_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"  # fixed value: Unicode White_Space
-_BLANKS = _SPACE.replace(" ", "")
+# fixed values: Unicode White_Space, but for the space itself
+_BLANKS = [chr(x) for x in (*range(9, 14), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 _RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
