@@ -33,10 +33,13 @@ def _cols(keys: str | Sequence[str]) -> list[str]:
 def row_tiebreak(df: DataFrame) -> Column:
     """Deterministic last-resort order: a 64-bit hash of every column.
 
-    Rows that tie on it are (up to hash collisions) identical, so whichever
-    survives gives the same output.
+    The hash skips nulls, so each column also gives a flag that says whether
+    it is null: rows whose nulls stand in other columns do not tie. Rows that
+    do tie are (up to hash collisions) identical, so whichever survives gives
+    the same output.
     """
-    return F.xxhash64(*[F.col(c) for c in df.columns]).desc()
+    parts = [x for c in df.columns for x in (F.col(c).isNull(), F.col(c))]
+    return F.xxhash64(*parts).desc()
 
 
 def latest_per_key(

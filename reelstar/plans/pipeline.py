@@ -127,7 +127,7 @@ def _write_failed_manifest(spark, media, source_events, raw_root, run_id, run_da
         "media_id",
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.MANIFEST.fields[3:-2]],
         F.lit("failed").alias("status"),
-        F.lit(f"{type(exc).__name__}: {exc}"[:2000]).alias("error"),
+        F.lit(f"{type(exc).__name__}: {exc}").alias("error"),
     )
     try:
         land.land_manifest(failed, raw_root, run_id, run_date)

@@ -45,3 +45,14 @@ def test_latest_per_key_matches_brute_force(spark, rows, n):
     # and the result is a function of the data: reshuffled input, same rows
     again = [tuple(r) for r in latest_per_key(df.repartition(5), ["k"], [F.col("o").desc_nulls_last()], n=n).collect()]
     assert sorted(got, key=str) == sorted(again, key=str)
+
+
+def test_rows_with_shifted_nulls_do_not_tie(spark):
+    rows = [("e", 1, "X", None), ("e", 1, None, "X")]
+    schema = "event_key string, at int, country string, region string"
+    survivors = set()
+    for order in (rows, rows[::-1]):
+        for parts in (1, 3):
+            df = spark.createDataFrame(order, schema).repartition(parts)
+            survivors.add(tuple(latest_per_key(df, "event_key", [F.col("at").desc()]).first()))
+    assert len(survivors) == 1
