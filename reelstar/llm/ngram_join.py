@@ -19,7 +19,10 @@ each document the smallest doc_id it can reach over links.
 * A list never emits all its pairs. Its members are checked against a pivot;
   after that only pairs that are still in different groups are checked,
   first by further pivots, then all that are left. So links inside one group
-  are not repeated, yet no link between groups is lost.
+  are not repeated, yet no link between groups is lost. Of those left, only
+  pairs that share enough lists are checked: n-grams in common that are in no
+  shared list lie behind the listed ones of one of the sets, so linked sets
+  share at least ``overlap(a, b) - ceil(percent/100 * larger) + 1`` lists.
 
 Null or empty texts, and texts without words, have the empty set: size 0,
 linked with nothing, group of their own. Repeated rows of a doc_id count as
@@ -276,4 +279,6 @@ def _heavy_edges(
 
     larger = "greatest(x_n, y_n)"
     fits = f"100 * least(x_n, y_n) >= {percent} * {larger} and {larger} > {boundary}"
-    return grouped_links(spark, lists, ["n"], fits, checked)
+    needed = f"({percent} * (x_n + y_n) + {99 + percent}) div {100 + percent}"
+    least_shared = f"{needed} - ({percent} * {larger} + 99) div 100 + 1"
+    return grouped_links(spark, lists, ["n"], fits, checked, least_shared=least_shared)
