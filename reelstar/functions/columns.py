@@ -158,13 +158,20 @@ def newer_mark(old_mark: ColumnOrName, candidate: ColumnOrName) -> Column:
 
 
 def round2(c: ColumnOrName, digits: int = 2) -> Column:
-    """Round half away from zero on the value's decimal form.
+    """Plain ``round``: half up on the shortest decimal form of the double."""
+    return F.round(_c(c), digits)
 
-    A double sum/average differs in its last bits with summation order (so
-    with partitioning); passing through DECIMAL(38,9) absorbs that noise and
-    makes half-way cases round the same in every engine.
+
+def exact_sum(c: ColumnOrName) -> Column:
+    """Sum of doubles that does not depend on their order (nor on partitioning).
+
+    Values are added as decimals of 12 places; a group with a value that does
+    not fit (NaN, infinity, 1e16 and beyond) or whose sum overflows has the
+    plain double sum.
     """
-    return F.round(_c(c).try_cast("decimal(38,9)"), digits).cast("double")
+    c = _c(c)
+    d = c.try_cast("decimal(28,12)")
+    return F.coalesce(F.when(F.count(d) == F.count(c), F.try_sum(d).cast("double")), F.sum(c))
 
 
 def to_ntz(c: ColumnOrName) -> Column:

@@ -4,8 +4,7 @@ The ingestion job fetched events media by media and page by page and kept
 only those newer than a persisted per-media mark. Here the whole run is one
 DataFrame plan over a source frame of events for all media at once:
 
-    source  ⋉ configured media                      (P13 allow-list)
-            ⟕ state(media_id, mark)                 (J5 mark lookup)
+    source  ⋈ (configured media ⟕ state)            (P13 allow-list, J5 mark lookup)
             σ ts >= day(mark)                       (P12 coarse fetch, "start_date")
             σ received_at non-blank ∧ ts > mark     (P10, P11 strict; optional lookback)
 
@@ -43,6 +42,7 @@ MARK = "__mark"
 TS = "__ts"
 MARK_TS = "__mark_ts"
 SAVED = "__saved"
+KNOWN = "__known"
 
 
 def restrict_to_media(events: DataFrame, media: DataFrame | list[str]) -> DataFrame:
@@ -71,9 +71,17 @@ def plan_landing(
     page_size: int = fn.EVENT_PAGE_SIZE,
 ) -> LandingPlan:
     payload_cols = source_events.columns
-    src = source_events if media is None else restrict_to_media(source_events, media)
+    # One small frame of media with their marks, so that the events meet one
+    # join: it is allow-list and mark lookup at once.
+    if media is None:
+        universe = source_events.select("media_id").distinct()
+    elif isinstance(media, list):
+        universe = source_events.sparkSession.createDataFrame([(m,) for m in media], "media_id string").distinct()
+    else:
+        universe = media.select("media_id").distinct()
     marks = state.select("media_id", F.col("last_received_at").alias(MARK))
-    ev = src.join(marks, "media_id", "left")
+    known = universe.join(marks, "media_id", "left").withColumnRenamed("media_id", KNOWN)
+    ev = source_events.join(known, F.col("media_id").eqNullSafe(F.col(KNOWN))).drop(KNOWN)
     ev = ev.withColumn(TS, fn.parse_ts("received_at")).withColumn(MARK_TS, fn.parse_ts(MARK))
 
     # A mark that does not parse counts as no mark: the media reloads in full
@@ -102,14 +110,8 @@ def plan_landing(
         ),
     )
 
-    if media is None:
-        universe = src.select("media_id").distinct()
-    elif isinstance(media, list):
-        universe = source_events.sparkSession.createDataFrame([(m,) for m in media], "media_id string")
-    else:
-        universe = media.select("media_id").distinct()
-
-    m = universe.join(marks, "media_id", "left").join(per_media, "media_id", "left")
+    per_media = per_media.withColumnRenamed("media_id", "__of")
+    m = known.join(per_media, F.col(KNOWN).eqNullSafe(F.col("__of")), "left").withColumnRenamed(KNOWN, "media_id")
     fetched_n = F.coalesce(F.col("events_fetched"), F.lit(0)).cast("long")
     manifest = m.select(
         F.lit(run_id).alias("run_id"),
@@ -129,6 +131,6 @@ def plan_landing(
     advanced = manifest.where(F.col("checkpoint_after").isNotNull()).select(
         "media_id", F.col("checkpoint_after").alias("last_received_at")
     )
-    carried = state.select("media_id", "last_received_at").join(manifest.select("media_id"), "media_id", "left_anti")
+    carried = state.select("media_id", "last_received_at").join(universe, "media_id", "left_anti")
     new_state = advanced.unionByName(carried)
     return LandingPlan(fetched.drop(SAVED), saved, manifest, new_state)

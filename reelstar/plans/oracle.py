@@ -15,10 +15,23 @@ def _p(s: str) -> str:
     return f"try_strptime({s}, '{TS_FMT}')"
 
 
+def _exact(c: str) -> str:
+    """Sum of the values as decimals, which no order of summing changes."""
+    return f"CAST(SUM(CAST({c} AS DECIMAL(28,12))) AS DOUBLE)"
+
+
+def _mean(c: str) -> str:
+    return f"({_exact(c)} / COUNT({c}))"
+
+
+def _round2(x: str) -> str:
+    """Half up on the shortest decimal text of a double."""
+    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,17)), 2) AS DOUBLE)"
+
+
 ADAPTER = f"""
 pages_b AS (
-  SELECT page_id, min(url) AS media_url FROM pages
-  WHERE page_id >= 0 AND page_id < 50 GROUP BY page_id),
+  SELECT page_id, min(url) AS media_url FROM pages GROUP BY page_id),
 geo AS (
   SELECT c.c_custkey, n.n_name AS country, r.r_name AS region, c.c_mktsegment AS city
   FROM customer c
@@ -28,7 +41,7 @@ ev_k AS (
   SELECT e.*, CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k FROM events e),
 src_events AS (
   SELECT 'ev-' || CAST(x.event_id AS VARCHAR) AS event_key,
-         'm' || CAST(x.k AS VARCHAR) AS media_id,
+         CASE WHEN x.value >= 150 THEN 'x' ELSE 'm' END || CAST(x.k AS VARCHAR) AS media_id,
          p.media_url,
          CASE WHEN x.event_type = 'error' THEN NULL ELSE 'u' || CAST(x.user_id AS VARCHAR) END AS visitor_key,
          strftime(x.ts, '{TS_FMT}') AS received_at,
@@ -37,7 +50,7 @@ src_events AS (
          g.country, g.region, g.city,
          x.event_type AS browser, x.event_type AS platform, (x.k % 2 = 0) AS mobile
   FROM ev_k x
-  LEFT JOIN pages_b p ON p.page_id = x.k % 50
+  LEFT JOIN pages_b p ON p.page_id = x.event_id % (SELECT max(page_id) + 1 FROM pages)
   LEFT JOIN geo g ON g.c_custkey = x.user_id),
 src_ts AS (SELECT s.*, {_p('s.received_at')} AS __ts FROM src_events s),
 raw_events AS (
@@ -62,14 +75,14 @@ raw_metadata AS (
          '2024-01-01T00:00:00.000Z' AS created, '2024-01-10T00:00:00.000Z' AS updated,
          CAST(p_size AS DOUBLE) * 60.0 AS duration, 'ready' AS status,
          'raw/run_date=2024-01-20/run_id=20240120T060000Z/media_metadata.json' AS _source_file
-  FROM part WHERE p_type <> 'ECONOMY'
+  FROM part
   UNION ALL
   SELECT 'm' || CAST(p_partkey AS VARCHAR), p_name || ' v2',
          '2024-01-01T00:00:00.000Z',
          CASE WHEN p_type = 'PROMO' THEN '2024-01-10T00:00:00.000Z' ELSE '2024-01-25T00:00:00.000Z' END,
          CAST(p_size AS DOUBLE) * 60.0 + 1.0, 'ready',
          'raw/run_date=2024-01-31/run_id=20240131T060000Z/media_metadata.json'
-  FROM part WHERE p_type <> 'ECONOMY' AND p_size >= 25),
+  FROM part WHERE p_size >= 25),
 meta_r AS (
   SELECT *, hashed_id AS media_id,
             regexp_extract(_source_file, 'run_id=([^/]+)', 1) AS run_id,
@@ -83,11 +96,11 @@ latest_metadata AS (
 raw_stats AS (
   SELECT CAST(p_size AS DOUBLE) / 100.0 AS play_rate,
          'raw/run_date=2024-01-20/run_id=20240120T060000Z/media_stats/m' || CAST(p_partkey AS VARCHAR) || '.json' AS _source_file
-  FROM part WHERE p_type <> 'SMALL'
+  FROM part
   UNION ALL
   SELECT CAST(p_size AS DOUBLE) / 50.0,
          'raw/run_date=2024-01-31/run_id=20240131T060000Z/media_stats/m' || CAST(p_partkey AS VARCHAR) || '.json'
-  FROM part WHERE p_type <> 'SMALL' AND p_size >= 10),
+  FROM part WHERE p_size >= 10),
 stats_r AS (
   SELECT *,
          CASE WHEN regexp_extract(_source_file, '/media_stats/([^/]+)\\.json$', 1) <> ''
@@ -130,8 +143,9 @@ fact AS (
   LEFT JOIN latest_metadata m ON e.media_id = m.media_id
   LEFT JOIN latest_stats s ON e.media_id = s.media_id),
 landing_state AS (
-  SELECT 'm' || CAST(p_partkey AS VARCHAR) AS media_id, '2024-01-20T12:00:00.000Z' AS last_received_at
-  FROM part WHERE p_type <> 'ECONOMY'),
+  SELECT 'm' || CAST(p_partkey AS VARCHAR) AS media_id, CASE p_type WHEN 'ECONOMY' THEN 'unknown' WHEN 'PROMO' THEN '2024-01-12T00:00:00.000Z'
+              ELSE '2024-01-20T12:00:00.000Z' END AS last_received_at
+  FROM part),
 configured_media AS (SELECT 'm' || CAST(p_partkey AS VARCHAR) AS media_id FROM part)
 """
 
@@ -289,20 +303,20 @@ ORACLE: dict[str, str] = {
                   (SELECT COUNT(*) FROM fact) AS engagement_count"""
     ),
     "sql_by_media": _q(
-        """SELECT media_id, COUNT(*) AS engagement_events,
-                  CAST(ROUND(TRY_CAST(AVG(watched_percent) AS DECIMAL(38,9)), 2) AS DOUBLE) AS avg_watched_percent,
-                  CAST(ROUND(TRY_CAST(SUM(total_watch_time) AS DECIMAL(38,9)), 2) AS DOUBLE) AS estimated_watch_seconds
+        f"""SELECT media_id, COUNT(*) AS engagement_events,
+                  {_round2(_mean('watched_percent'))} AS avg_watched_percent,
+                  {_round2(_exact('total_watch_time'))} AS estimated_watch_seconds
            FROM fact GROUP BY media_id ORDER BY engagement_events DESC, media_id"""
     ),
     "sql_by_title": _q(
-        """SELECT m.title, COUNT(*) AS engagement_events, CAST(ROUND(TRY_CAST(AVG(f.watched_percent) AS DECIMAL(38,9)), 2) AS DOUBLE) AS avg_watched_percent
+        f"""SELECT m.title, COUNT(*) AS engagement_events, {_round2(_mean('f.watched_percent'))} AS avg_watched_percent
            FROM fact f JOIN dim_media m ON f.media_id = m.media_id
            GROUP BY m.title ORDER BY engagement_events DESC, m.title"""
     ),
     "sql_watch_minutes": _q(
-        """SELECT m.title, COUNT(*) AS engagement_events,
-                  CAST(ROUND(TRY_CAST(AVG(f.watched_percent) AS DECIMAL(38,9)), 2) AS DOUBLE) AS avg_watched_percent,
-                  CAST(ROUND(TRY_CAST(SUM(f.total_watch_time) / 60.0 AS DECIMAL(38,9)), 2) AS DOUBLE) AS estimated_watch_minutes
+        f"""SELECT m.title, COUNT(*) AS engagement_events,
+                  {_round2(_mean('f.watched_percent'))} AS avg_watched_percent,
+                  {_round2(_exact('f.total_watch_time') + ' / 60.0')} AS estimated_watch_minutes
            FROM fact f JOIN dim_media m ON f.media_id = m.media_id
            GROUP BY m.title ORDER BY engagement_events DESC, m.title"""
     ),

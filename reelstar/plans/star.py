@@ -9,9 +9,10 @@ Plan shape and why:
 * every "latest per key" is a ``row_number`` top-1, which Catalyst runs as a
   partial ``WindowGroupLimit`` before the shuffle, so hot keys (few media,
   many events) send one row per map task, not all rows;
-* the fact joins the two per-media lookups (duration, play rate). They hold
-  one row per media; Spark's broadcast threshold is the size check and a
-  sort-merge join (skew-split by AQE) is the path beyond it. The fact only
+* duration and play rate are first joined to one lookup with one row per
+  media, so the events meet one join only. Spark's broadcast threshold is the
+  size check; beyond it a sort-merge join runs, whose hot media AQE splits
+  (forced, so also where the result needs a new shuffle). The fact only
   needs ``duration`` from the media dimension, so it joins the latest
   metadata directly and never computes the URL/channel half of the
   dimension;
@@ -115,10 +116,11 @@ def build_dim_visitor(events: DataFrame) -> DataFrame:
     )
 
 
-def media_lookups(latest_meta: DataFrame, latest_st: DataFrame) -> tuple[DataFrame, DataFrame]:
+def media_measures(latest_meta: DataFrame, latest_st: DataFrame) -> DataFrame:
+    """One row per media known to either side: its duration and its latest play rate."""
     duration = latest_meta.select("media_id", F.col("duration").cast("double").alias("duration_seconds"))
-    rate = latest_st.select("media_id", F.col("play_rate").cast("double").alias("media_play_rate"))
-    return duration, rate
+    rate = latest_st.select("media_id", F.col("play_rate").cast("double").alias("play_rate"))
+    return duration.join(rate, "media_id", "full")
 
 
 def build_fact(events: DataFrame, latest_meta: DataFrame, latest_st: DataFrame) -> DataFrame:
@@ -127,33 +129,19 @@ def build_fact(events: DataFrame, latest_meta: DataFrame, latest_st: DataFrame)
     ``play_rate`` is the media's *latest* rate stamped on every event (not
     as-of the event): it must not be summed across events.
     """
-    duration, rate = media_lookups(latest_meta, latest_st)
-    base = events.join(duration, "media_id", "left").join(rate, "media_id", "left")
-    return base.select(
+    return events.join(media_measures(latest_meta, latest_st), "media_id", "left").select(
         F.col("event_key").alias("engagement_id"),
         F.col("media_id"),
         fn.visitor_hash("visitor_key").alias("visitor_id"),
         F.col(TS).alias("received_at"),
         fn.event_date(TS).alias("date"),
         F.lit(1).cast("long").alias("play_count"),
-        F.col("media_play_rate").alias("play_rate"),
+        F.col("play_rate"),
         fn.watch_time("duration_seconds", "percent_viewed").alias("total_watch_time"),
         fn.watched_percent("percent_viewed").alias("watched_percent"),
     )
 
 
-def media_titles(latest_meta: DataFrame) -> DataFrame:
-    """``dim_media(media_id, title)`` without the URL half.
-
-    ``dim_media`` is the latest metadata left-joined to a frame that is unique
-    on ``media_id``, so that join changes neither its rows nor its titles;
-    queries that only need titles (or dimension keys) skip the events scan
-    behind the URL half. Catalyst cannot drop that join itself, because it
-    cannot prove the right side unique.
-    """
-    return latest_meta.select("media_id", F.col("name").alias("title"))
-
-
 @dataclass
 class Star:
     events: DataFrame  # deduplicated events (with run id and parsed instant)
@@ -162,7 +150,6 @@ class Star:
     dim_media: DataFrame
     dim_visitor: DataFrame
     fact: DataFrame
-    media_titles: DataFrame  # == dim_media.select("media_id", "title")
 
 
 def build_star(
@@ -183,4 +170,4 @@ def build_star(
     dim_media = build_dim_media(lm, latest_media_url(ev), channel_rules)
     dim_visitor = build_dim_visitor(ev)
     fact = build_fact(ev, lm, ls)
-    return Star(ev, lm, ls, dim_media, dim_visitor, fact, media_titles(lm))
+    return Star(ev, lm, ls, dim_media, dim_visitor, fact)

@@ -7,7 +7,9 @@ Every setting here is a semantic or scale decision, not a tuning guess:
   independent of where the driver runs.
 * AQE on, with skew-join splitting: the media key has ~100 distinct values
   while events number in the billions at scale, so any shuffle on ``media_id``
-  is skewed by construction. AQE splits the hot partitions at run time.
+  is skewed by construction. AQE splits the hot partitions at run time, also
+  where that costs a new shuffle behind the join (``forceOptimizeSkewedJoin``).
+  Without that, joins and aggregations stacked on one key are not split.
 * ``partitionColumnTypeInference`` off: landed paths carry ids such as
   ``media_id=0123`` which must stay strings.
 * ``spark.sql.autoBroadcastJoinThreshold`` is the size check for broadcast: a
@@ -28,6 +30,7 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",

@@ -7,19 +7,22 @@ written once more as SQL CTEs in :mod:`reelstar.plans.oracle`.
 
 Rules (``k`` is the integer ``k`` of ``events.props``):
 
-* events: ``event_key='ev-'||event_id``, ``media_id='m'||k``, visitor key
+* events: ``event_key='ev-'||event_id``, ``media_id='m'||k`` (``'x'||k``, a media
+  outside the catalog, from a ``value`` of 150 on), visitor key
   ``'u'||user_id`` (null — an anonymous visitor — for ``error`` events), URL
-  of page ``k % 50``, received time as the ISO string of ``ts``,
+  of page ``event_id % (max(page_id) + 1)``, received time as the ISO string of ``ts``,
   ``percent_viewed=least(value/100, 1)``, geography from the customer row
   of ``user_id``, user agent from ``event_type``/``k``.
 * two landing runs with redelivery: run 1 holds events before 2024-01-20,
   run 2 those from 2024-01-15 on; the overlap is landed twice.
 * media metadata from ``part`` (``media_id='m'||p_partkey``): run 1 has every
-  non-ECONOMY part, run 2 re-lists those with ``p_size >= 25`` under a new
+  part, run 2 re-lists those with ``p_size >= 25`` under a new
   title (titles repeat, so GROUP BY title merges media); PROMO parts keep
   the same ``updated`` in both runs, so the run order breaks the tie.
-* media stats from ``part``: every non-SMALL part in run 1, those with
-  ``p_size >= 10`` again in run 2; SMALL parts have no stats.
+* media stats from ``part``: every part in run 1, those with ``p_size >= 10``
+  again in run 2.
+* marks before the landing run: every part has one; those of PROMO parts are
+  earlier, those of ECONOMY parts do not parse (such media land in full).
 """
 
 from __future__ import annotations
@@ -37,8 +40,10 @@ RUN2_FROM = "2024-01-15 00:00:00"  # run 2 holds events from this on
 MEDIA_CREATED = "2024-01-01T00:00:00.000Z"
 MEDIA_UPDATED_R1 = "2024-01-10T00:00:00.000Z"
 MEDIA_UPDATED_R2 = "2024-01-25T00:00:00.000Z"
-PAGE_BUCKETS = 50  # event media k maps to page k % 50; pages 0-49 exist at every scale
+EXTERNAL_FROM = 150.0  # events of this value or more belong to media outside the catalog
 INCREMENTAL_MARK = "2024-01-20T12:00:00.000Z"  # checkpoint for the landing queries
+EARLY_MARK = "2024-01-12T00:00:00.000Z"  # of PROMO parts
+BAD_MARK = "unknown"  # of ECONOMY parts
 # Channel rules that match the adapter's page URLs (the defaults match none).
 ADAPTER_CHANNEL_RULES = (("blog.", "Blog"), ("//m.", "Mobile"))
 # ---------------------------------------------------------------------------
@@ -49,26 +54,6 @@ TABLES = (
 ).split()
 
 
-def balance_input(df: DataFrame) -> DataFrame:
-    """Spread an under-split scan over the available cores.
-
-    A Parquet file with one row group is read by one task, so all per-row
-    work before the first shuffle would run on one core. Only when the scan
-    yields fewer partitions than the default parallelism is it spread by a
-    round-robin repartition; a large input (thousands of splits) is left
-    alone, so this never adds a shuffle at scale.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a client session without RDD access: leave the scan as is
-        return df
-    return df.repartition(target) if splits < target else df
-
-
-# Fact-like inputs whose per-row work dominates; dimension tables stay as read.
-BALANCED = frozenset({"events", "lineitem", "orders"})
-
 # Declared schemas of the input tables the adapter reads (identical at every
 # scale). Declaring them skips a schema-inference job per read.
 INPUT_SCHEMAS = {
@@ -88,8 +73,7 @@ INPUT_SCHEMAS = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read.schema(INPUT_SCHEMAS[name]) if name in INPUT_SCHEMAS else spark.read
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return balance_input(df) if name in BALANCED else df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def channel_rules() -> tuple[tuple[str, str], ...]:
@@ -97,15 +81,14 @@ def channel_rules() -> tuple[tuple[str, str], ...]:
 
 
 def _page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Bounded by construction: page ids are filtered to [0, 50) (pushed into the
-    # parquet scan) and grouped, so at most 50 rows whatever the scale; the
-    # ``html`` column is never read. This is the proof behind the broadcast.
-    pages = table(spark, sf_dir, "pages")
-    return (
-        pages.where((F.col("page_id") >= 0) & (F.col("page_id") < PAGE_BUCKETS))
-        .groupBy("page_id")
-        .agg(F.min("url").alias("media_url"))
-    )
+    """URL of every page; ``html`` is never read. The planner's size check decides how it joins."""
+    return table(spark, sf_dir, "pages").groupBy("page_id").agg(F.min("url").alias("media_url"))
+
+
+def _page_of(spark: SparkSession, sf_dir: str, event_id: F.Column) -> F.Column:
+    """The page an event is seen on: all pages are used, whatever their number."""
+    pages = table(spark, sf_dir, "pages").select((F.max("page_id") + 1).alias("n")).scalar()
+    return event_id % pages
 
 
 def _with_geo(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,13 +117,13 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event source as an API would serve it: one record per event."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     k = F.get_json_object("props", "$.k").cast("int")
-    e = e.withColumn("k", k).withColumn("page_id", (F.col("k") % PAGE_BUCKETS).cast("long"))
-    pages = F.broadcast(_page_urls(spark, sf_dir))
+    e = e.withColumn("k", k).withColumn("page_id", _page_of(spark, sf_dir, F.col("event_id")))
+    pages = _page_urls(spark, sf_dir)
     joined = _with_geo(e.join(pages, "page_id", "left"), spark, sf_dir)
     uid = F.col("user_id")
     return joined.select(
         F.concat(F.lit("ev-"), F.col("event_id").cast("string")).alias("event_key"),
-        F.concat(F.lit("m"), F.col("k").cast("string")).alias("media_id"),
+        F.concat(F.when(F.col("value") >= EXTERNAL_FROM, "x").otherwise("m"), F.col("k").cast("string")).alias("media_id"),
         F.col("media_url"),
         F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("u"), uid.cast("string")))
@@ -192,7 +175,7 @@ def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Media-metadata snapshots of both runs (+ source path)."""
-    part = _part(spark, sf_dir).where(F.col("p_type") != "ECONOMY")
+    part = _part(spark, sf_dir)
     hashed = F.concat(F.lit("m"), F.col("p_partkey").cast("string"))
     r1 = part.select(
         hashed.alias("hashed_id"),
@@ -217,7 +200,7 @@ def raw_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Media-statistics objects of both runs; the media id is only in the path."""
-    part = _part(spark, sf_dir).where(F.col("p_type") != "SMALL")
+    part = _part(spark, sf_dir)
 
     def path(run_date: str, run_id: str) -> F.Column:
         return F.concat(
@@ -234,14 +217,11 @@ def raw_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpoint before the landing run: a mark for every catalogued media.
-
-    Media without metadata (ECONOMY parts) have no mark and land in full mode.
-    """
-    part = _part(spark, sf_dir).where(F.col("p_type") != "ECONOMY")
-    return part.select(
+    """Checkpoint before the landing run: a mark for every catalogued media."""
+    mark = F.when(F.col("p_type") == "ECONOMY", BAD_MARK).when(F.col("p_type") == "PROMO", EARLY_MARK).otherwise(INCREMENTAL_MARK)
+    return _part(spark, sf_dir).select(
         F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("media_id"),
-        F.lit(INCREMENTAL_MARK).alias("last_received_at"),
+        mark.alias("last_received_at"),
     )
 
 
