@@ -23,7 +23,7 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar import schemas
@@ -52,35 +52,34 @@ def _print_rows(df, limit: int = 100) -> None:
 
 
 def cmd_transform(spark: SparkSession, a: argparse.Namespace) -> int:
+    runs = a.runs if a.incremental else raw.ALL_RUNS
+    found = raw.scan_events(spark, a.raw, multiline=a.multiline, runs=runs, allow_missing=a.incremental, keep_corrupt=True)
+    malformed = Observation("malformed")
+    found = found.observe(malformed, F.count_if(F.col(raw.CORRUPT).isNotNull()).alias("records"))
+    events, corrupt = raw.split_corrupt(found)
+    if a.quarantine:
+        corrupt.write.mode("overwrite").json(a.quarantine)
     if a.incremental:
         counts = incremental.run_incremental_transform(
             spark,
-            raw.scan_events(spark, a.raw, multiline=a.multiline, runs=a.runs, allow_missing=True),
+            events,
             raw.scan_metadata(spark, a.raw, multiline=a.multiline, allow_missing=True),
             raw.scan_stats(spark, a.raw, multiline=a.multiline, allow_missing=True),
             a.curated,
             channel_rules=_rules(a.channel_rule),
             db=a.db,
         )
-        print(json.dumps(counts))
-        return 0
-    events = raw.scan_events(spark, a.raw, multiline=a.multiline, keep_corrupt=bool(a.quarantine))
-    quarantined = None
-    if a.quarantine:
-        events, corrupt = raw.split_corrupt(events)
-        corrupt.write.mode("overwrite").json(a.quarantine)
-        quarantined = spark.read.json(a.quarantine).count()
-    counts = pipeline.run_transform(
-        spark,
-        events,
-        raw.scan_metadata(spark, a.raw, multiline=a.multiline, allow_missing=True),
-        raw.scan_stats(spark, a.raw, multiline=a.multiline, allow_missing=True),
-        a.curated,
-        channel_rules=_rules(a.channel_rule),
-        db=a.db,
-    )
-    if quarantined is not None:
-        counts["quarantined_records"] = quarantined
+    else:
+        counts = pipeline.run_transform(
+            spark,
+            events,
+            raw.scan_metadata(spark, a.raw, multiline=a.multiline, allow_missing=True),
+            raw.scan_stats(spark, a.raw, multiline=a.multiline, allow_missing=True),
+            a.curated,
+            channel_rules=_rules(a.channel_rule),
+            db=a.db,
+        )
+    counts["quarantined_records" if a.quarantine else "malformed_records"] = malformed.get["records"]
     print(json.dumps(counts))
     return 0
 
@@ -119,9 +118,13 @@ def cmd_profile(spark: SparkSession, a: argparse.Namespace) -> int:
         records = records.select(
             F.explode(F.coalesce(F.from_json("json", "array<string>"), F.array("json"))).alias("json")
         )
-    _print_rows(pf.field_profile(spark, records).orderBy("field", "json_type"), a.limit)
+    reports = {"fields": pf.field_profile(spark, records)}
     if a.nested:
-        _print_rows(pf.nested_profile(spark, records).orderBy("field", "json_type"), a.limit)
+        reports["nested"] = pf.nested_profile(spark, records)
+    for name, report in reports.items():
+        if a.out:
+            report.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{name}")
+        _print_rows(report.orderBy("field", "json_type"), a.limit)
     return 0
 
 
@@ -164,6 +167,7 @@ def parser() -> argparse.ArgumentParser:
     pr.add_argument("--path", required=True)
     pr.add_argument("--multiline", action="store_true")
     pr.add_argument("--nested", action="store_true")
+    pr.add_argument("--out", default=None, help="write the full profiles as Parquet under this path")
     pr.set_defaults(run=cmd_profile)
     return p
 

@@ -37,7 +37,7 @@ from reelstar import schemas
 from reelstar.functions import columns as fn
 from reelstar.plans import star as st
 from reelstar.plans.pipeline import write_star
-from reelstar.session import checkpoint_dir
+from reelstar.session import checkpoint_dir, remove_path
 from reelstar.sinks import curated as cur
 
 DATE = "date"
@@ -87,8 +87,15 @@ def _in_dates(dates: list) -> F.Column:
 
 def merge_new_events(spark: SparkSession, new_raw_events: DataFrame, store_path: str) -> dict[str, int]:
     """Merge newly landed raw events into the deduplicated event store."""
-    cols = [f.name for f in STORE_SCHEMA.fields]
     stage = f"{checkpoint_dir(spark).rstrip('/')}/reelstar-merge-{uuid.uuid4().hex}"
+    try:
+        return _merge(spark, new_raw_events, store_path, stage)
+    finally:
+        remove_path(spark, stage)
+
+
+def _merge(spark: SparkSession, new_raw_events: DataFrame, store_path: str, stage: str) -> dict[str, int]:
+    cols = [f.name for f in STORE_SCHEMA.fields]
     # The new events are used three times (keys, dates, merge): parse them once.
     _with_date(st.prepare_events(new_raw_events)).select(*cols).write.parquet(f"{stage}/new")
     new = spark.read.schema(STORE_SCHEMA).parquet(f"{stage}/new")

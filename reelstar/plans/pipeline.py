@@ -20,7 +20,7 @@ from reelstar import schemas
 from reelstar.functions import columns as fn
 from reelstar.operators.landing import plan_landing
 from reelstar.plans import star as st
-from reelstar.session import checkpoint_dir
+from reelstar.session import checkpoint_dir, remove_path
 from reelstar.sinks import curated as cur
 from reelstar.sinks import landing as land
 
@@ -41,8 +41,20 @@ def run_transform(
     stage_root: str | None = None,
     db: str | None = None,
 ) -> dict[str, int]:
-    """Build and write ``dim_media``, ``dim_visitor``, ``fact_media_engagement``."""
+    """Build and write ``dim_media``, ``dim_visitor``, ``fact_media_engagement``.
+
+    The staged events are removed at the end, also of a failed run, unless the
+    caller named ``stage_root``.
+    """
     stage = stage_root or f"{checkpoint_dir(spark).rstrip('/')}/reelstar-stage-{uuid.uuid4().hex}"
+    try:
+        return _transform(spark, raw_events, raw_metadata, raw_stats, curated_root, channel_rules, stage, db)
+    finally:
+        if stage_root is None:
+            remove_path(spark, stage)
+
+
+def _transform(spark, raw_events, raw_metadata, raw_stats, curated_root, channel_rules, stage, db) -> dict[str, int]:
     raw_obs_df, raw_obs = _counted(raw_events, "raw_events")
     deduped, uniq_obs = _counted(st.dedup_events(raw_obs_df), "unique_events")
     deduped.write.mode("overwrite").parquet(f"{stage}/events")
@@ -88,10 +100,16 @@ def run_landing(
     Returns the manifest as written (read back from the run directory).
     """
     store = land.StateStore(spark, state_root)
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/reelstar-landing-{uuid.uuid4().hex}"
+    settings = {"run_id": run_id, "run_date": run_date, "lookback_seconds": lookback_seconds}
     try:
-        plan = plan_landing(
-            source_events, store.read(), media, run_id=run_id, run_date=run_date, lookback_seconds=lookback_seconds
-        )
+        # The source is read once: saved events, counters and marks all come
+        # from the same staged rows, so no mark can pass an event that a second
+        # reading of a growing source would have brought.
+        first = plan_landing(source_events, store.read(), media, **settings)
+        first.fetched.select(*source_events.columns).write.parquet(stage)
+        fetched = spark.read.schema(source_events.schema).parquet(stage)
+        plan = plan_landing(fetched, store.read(), media, **settings)
         if metadata is not None:
             land.land_metadata(metadata, raw_root, run_id, run_date)
         if stats is not None:
@@ -103,6 +121,8 @@ def run_landing(
         # the previous checkpoint, so the next run re-lands what this one lost.
         _write_failed_manifest(spark, media, source_events, raw_root, run_id, run_date, exc)
         raise
+    finally:
+        remove_path(spark, stage)
 
     manifest = spark.read.schema(schemas.MANIFEST).json(f"{land.run_prefix(raw_root, run_id, run_date)}/run_manifest.json")
     # New marks from the *written* manifest: no recomputation of the run.

@@ -82,3 +82,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return configured
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged table of our own (nothing happens when it is missing)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

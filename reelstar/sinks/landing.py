@@ -2,15 +2,16 @@
 
 Landed files keep the raw layout the readers expect, one directory per run::
 
-    <raw>/run_date=D/run_id=R/events/media_id=M/part-*.json   (JSON lines)
+    <raw>/run_date=D/run_id=R/events/media_id=M/part-*        (JSON lines)
     <raw>/run_date=D/run_id=R/media_metadata.json/part-*.json
     <raw>/run_date=D/run_id=R/media_stats/media_id=M/part-*.json
     <raw>/run_date=D/run_id=R/run_manifest.json/part-*.json
 
 State is never overwritten in place (the next state is computed *from* the
 current one, so overwriting the path being read would lose it): each run
-writes ``<state>/version=<run_id>/`` and readers take the highest committed
-version. A failed run leaves no committed version, so the previous marks
+writes ``<state>/version=<run_id>/``, then a one-line commit mark under
+``<state>/_commits/<run_id>``, and readers take the highest version that has a
+mark. A failed run leaves no committed version, so the previous marks
 stay in force and the next run re-lands (at-least-once; dedup removes the
 copies downstream).
 """
@@ -20,7 +21,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from reelstar import schemas
 
@@ -38,8 +38,15 @@ def write_json(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = (),
 
 
 def land_events(saved: DataFrame, raw_root: str, run_id: str, run_date: str) -> None:
-    """K2: saved events under the run, one directory per media."""
-    write_json(saved, f"{run_prefix(raw_root, run_id, run_date)}/events", partition_by=("media_id",))
+    """K2: saved events under the run, one directory per media.
+
+    The record keeps its ``media_id``; the directory is named by a copy, which
+    may be escaped. A rebalance on the media first keeps the files few and
+    splits a hot media over several of them.
+    """
+    record = F.to_json(F.struct(*saved.columns), {"ignoreNullFields": "false"}).alias("value")
+    lines = saved.select(record, "media_id").hint("rebalance", "media_id")
+    lines.write.mode("append").partitionBy("media_id").text(f"{run_prefix(raw_root, run_id, run_date)}/events")
 
 
 def land_metadata(metadata: DataFrame, raw_root: str, run_id: str, run_date: str) -> None:
@@ -61,27 +68,32 @@ class StateStore:
     """Versioned per-media high-water marks."""
 
     VERSION = "version"
+    COMMITS = "_commits"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _schema(self) -> StructType:
-        return StructType(list(schemas.STATE.fields) + [StructField(self.VERSION, StringType(), True)])
-
-    def read(self) -> DataFrame:
-        """The latest committed state; an empty frame on the first run."""
+    def _committed(self) -> DataFrame:
+        """``value``: the versions whose commit mark was written to its end."""
         try:
-            allv = self.spark.read.schema(self._schema()).parquet(self.root)
+            return self.spark.read.text(f"{self.root}/{self.COMMITS}/*")
         except AnalysisException as exc:
             if "PATH_NOT_FOUND" in str(exc):
-                return self.spark.createDataFrame([], schemas.STATE)
+                return self.spark.createDataFrame([], "value string")
             raise
-        latest = allv.agg(F.max(self.VERSION).alias(self.VERSION))
-        return allv.join(F.broadcast(latest), self.VERSION, "left_semi").select("media_id", "last_received_at")
+
+    def read(self) -> DataFrame:
+        """The latest committed state; an empty frame on the first run."""
+        latest = self._committed().agg(F.max("value")).first()[0]
+        if latest is None:
+            return self.spark.createDataFrame([], schemas.STATE)
+        return self.spark.read.schema(schemas.STATE).parquet(f"{self.root}/{self.VERSION}={latest}")
 
     def write(self, state: DataFrame, version: str) -> None:
-        """K4: publish a new version (fails rather than replace an existing one)."""
-        state.select("media_id", "last_received_at").write.mode("errorifexists").parquet(
-            f"{self.root}/{self.VERSION}={version}"
-        )
+        """K4: publish a new version (fails rather than replace a committed one)."""
+        if self._committed().where(F.col("value") == version).first():
+            raise FileExistsError(f"state version {version} already exists")
+        state.select("media_id", "last_received_at").write.mode("overwrite").parquet(f"{self.root}/{self.VERSION}={version}")
+        mark = self.spark.range(1).select(F.lit(version).alias("value"))
+        mark.write.mode("overwrite").text(f"{self.root}/{self.COMMITS}/{version}")

@@ -30,12 +30,13 @@ from reelstar import schemas
 from reelstar.functions import columns as fn
 
 ALL_RUNS = "run_date=*/run_id=*"
-EVENTS_GLOB = f"{ALL_RUNS}/events/media_id=*/*.json"
+EVENTS_GLOB = f"{ALL_RUNS}/events/media_id=*/*"
 METADATA_GLOB = f"{ALL_RUNS}/media_metadata.json"
 STATS_GLOB = f"{ALL_RUNS}/media_stats/*"
 MANIFEST_GLOB = f"{ALL_RUNS}/run_manifest.json"
 
 CORRUPT = "_corrupt_record"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: directory of a null partition key
 
 
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -85,7 +86,16 @@ def with_run(df: DataFrame) -> DataFrame:
 
 
 def events_media_from_path(path: F.Column | str) -> F.Column:
-    return fn.from_path(path, fn.EVENTS_MEDIA_FROM_PATH)
+    """Media id of an event file's directory: unescaped, null for the null partition.
+
+    Paths come URL-escaped, and directory names are escaped once more by the writer.
+    """
+    found = fn.from_path(path, fn.EVENTS_MEDIA_FROM_PATH)
+    return F.when(found != NULL_PARTITION, _unescaped(_unescaped(found)))
+
+
+def _unescaped(text: F.Column) -> F.Column:
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
 
 
 def stats_media_id(path: F.Column | str) -> F.Column:
@@ -107,8 +117,9 @@ def scan_events(
     """Every landed event of the selected runs (all by default). Payload
     ``media_id`` wins; the path id fills in for ``partitionBy('media_id')`` files.
     ``runs`` narrows the glob (e.g. ``run_date=2024-02-01/run_id=*``) so an
-    incremental run lists and reads only the new run directories. With
-    ``keep_corrupt`` malformed records keep their text in ``_corrupt_record``
+    incremental run lists and reads only the new run directories. Malformed
+    records are no events: they are left out, or with ``keep_corrupt`` kept with
+    their text in ``_corrupt_record``, to be counted and set aside
     (see :func:`split_corrupt`)."""
     glob = EVENTS_GLOB.replace(ALL_RUNS, runs, 1)
     df = read_json(
@@ -117,9 +128,11 @@ def scan_events(
         schemas.RAW_EVENT,
         multiline=multiline,
         allow_missing=allow_missing,
-        keep_corrupt=keep_corrupt,
+        keep_corrupt=True,
     )
-    return df.withColumn("media_id", F.coalesce(F.col("media_id"), events_media_from_path("_source_file")))
+    from_path = F.when(F.col(CORRUPT).isNull(), events_media_from_path("_source_file"))
+    df = df.withColumn("media_id", F.coalesce("media_id", from_path))
+    return df if keep_corrupt else split_corrupt(df)[0]
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -131,7 +144,10 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     if CORRUPT not in df.columns:
         return df, df.where(F.lit(False))
-    good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # Spark refuses a JSON query that needs the corrupt column alone (a count of
+    # the good records): the condition therefore names a payload column as well.
+    text = F.coalesce(F.col(CORRUPT), F.when(F.col(CORRUPT).isNotNull(), F.col("event_key")))
+    good = df.where(text.isNull()).drop(CORRUPT)
     corrupt = df.where(F.col(CORRUPT).isNotNull()).select("event_key", CORRUPT, "_source_file")
     return good, corrupt
 

@@ -51,7 +51,7 @@ def test_land_transform_validate_profile(spark, tmp_path, capsys):
     assert cli.main(["validate", "--db", "reelstar_cli", "--fail-on-quality"], spark) == 2  # unknown media -> orphans
     capsys.readouterr()
 
-    assert cli.main(["profile", "--path", f"{raw_root}/run_date=*/run_id=*/events/media_id=*/*.json", "--nested"], spark) == 0
+    assert cli.main(["profile", "--path", f"{raw_root}/run_date=*/run_id=*/events/media_id=*/part-*", "--nested"], spark) == 0
     prof = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
     fields = {p["field"] for p in prof}
     assert {"event_key", "received_at", "user_agent_details", "user_agent_details.mobile"} <= fields

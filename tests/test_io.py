@@ -53,9 +53,9 @@ def test_empty_glob_gives_empty_frame(spark, tmp_path):
 
 def test_landing_runs_state_and_transform(spark, tmp_path):
     raw_root, state_root, curated = str(tmp_path / "raw"), str(tmp_path / "state"), str(tmp_path / "curated")
-    source = fx.source_events(spark, SF)
-    early = source.where(F.col("received_at") < "2024-01-20")
     media = fx.configured_media(spark, SF)
+    source = fx.source_events(spark, SF).join(media, "media_id", "left_semi")  # media outside the catalog never land
+    early = source.where(F.col("received_at") < "2024-01-20")
 
     store = land.StateStore(spark, state_root)
     assert store.read().count() == 0  # first run: no checkpoint
@@ -91,7 +91,7 @@ def test_landing_runs_state_and_transform(spark, tmp_path):
     assert spark.sql(an.SQL["sql_counts_one_row"].format(db="reelstar_test")).first().engagement_count == total
 
     # Replay (at-least-once): re-land run 2 under a new run id; the fact is unchanged.
-    replay = fx.source_events(spark, SF).where(F.col("received_at") >= "2024-01-20")
+    replay = source.where(F.col("received_at") >= "2024-01-20")
     land.land_events(replay, raw_root, "20240201T060000Z", "2024-02-01")
     again = str(tmp_path / "curated2")
     counts2 = pipeline.run_transform(spark, raw.scan_events(spark, raw_root), raw.scan_metadata(spark, raw_root), raw.scan_stats(spark, raw_root), again)
@@ -201,3 +201,48 @@ def test_malformed_records_are_quarantined(spark, tmp_path):
     bad = corrupt.collect()
     assert len(bad) == 1 and bad[0]._corrupt_record == "{this is not json" and bad[0]._source_file.endswith("part-0.json")
     assert "_corrupt_record" not in good.columns
+
+
+def test_media_ids_survive_landing(spark, tmp_path):
+    ids = ["a b:c", None, "x/y=z", "p+q", "100%"]
+    rows = [{**{f.name: None for f in schemas.RAW_EVENT.fields}, "event_key": f"e{i}", "media_id": m, "received_at": "2024-01-02T00:00:00.000Z"} for i, m in enumerate(ids)]
+    src = spark.createDataFrame([Row(**r) for r in rows], schemas.RAW_EVENT)
+    land.land_events(src, str(tmp_path / "raw"), "20240102T060000Z", "2024-01-02")
+    got = {r.event_key: r.media_id for r in raw.scan_events(spark, str(tmp_path / "raw")).collect()}
+    assert got == {f"e{i}": m for i, m in enumerate(ids)}
+    # an id that is only in the directory name is unescaped; the null partition is null
+    paths = spark.createDataFrame([("f:/raw/events/media_id=a%20b%253Ac/p",), ("f:/raw/events/media_id=__HIVE_DEFAULT_PARTITION__/p",), ("f:/x",)], "p string")
+    assert [r[0] for r in paths.select(raw.events_media_from_path("p")).collect()] == ["a b:c", None, ""]
+
+
+def test_null_media_are_counted(spark, tmp_path):
+    base = {f.name: None for f in schemas.RAW_EVENT.fields}
+    src = spark.createDataFrame([Row(**{**base, "event_key": "a", "received_at": "2024-01-02T00:00:00.000Z"}), Row(**{**base, "event_key": "b", "media_id": "m", "received_at": "2024-01-02T00:00:00.000Z"})], schemas.RAW_EVENT)
+    man = pipeline.run_landing(spark, src, None, str(tmp_path / "state"), str(tmp_path / "raw"), run_id="20240103T000000Z", run_date="2024-01-03")
+    assert {r.media_id: (r.events_fetched, r.events_saved) for r in man.collect()} == {None: (1, 1), "m": (1, 1)}
+
+
+def test_uncommitted_state_is_ignored(spark, tmp_path):
+    store = land.StateStore(spark, str(tmp_path / "state"))
+    store.write(spark.createDataFrame([("a", "1"), ("b", "1")], schemas.STATE), "20260101T000000Z")
+    spark.createDataFrame([("a", "2")], schemas.STATE).write.parquet(str(tmp_path / "state" / "version=20260102T000000Z"))
+    assert sorted(tuple(r) for r in store.read().collect()) == [("a", "1"), ("b", "1")]
+    store.write(spark.createDataFrame([("a", "3")], schemas.STATE), "20260102T000000Z")  # the run again
+    assert [tuple(r) for r in store.read().collect()] == [("a", "3")]
+
+
+def test_malformed_records_are_no_events(spark, tmp_path):
+    page = tmp_path / "raw" / "run_date=2026-08-15" / "run_id=20260815T060000Z" / "events" / "media_id=m1" / "part-0.json"
+    page.parent.mkdir(parents=True)
+    page.write_text('{"event_key": "a", "media_id": "m1"}\n{broken\n')
+    events = raw.scan_events(spark, str(tmp_path / "raw"))
+    assert [r.event_key for r in events.collect()] == ["a"] and events.count() == 1
+
+
+def test_stream_reads_array_pages(spark, tmp_path):
+    events = [{"event_key": f"k{i}", "media_id": "m1", "received_at": "2026-08-15T07:51:28.000Z"} for i in range(5)]
+    page = tmp_path / "raw" / "run_date=2026-08-15" / "run_id=20260815T060000Z" / "events" / "media_id=m1" / "page_001.json"
+    _write_page(str(page), events)
+    out = str(tmp_path / "out")
+    stream.start_landing_stream(spark, str(tmp_path / "raw"), out, str(tmp_path / "ckpt"), multiline=True).awaitTermination()
+    assert sorted(r.event_key for r in spark.read.parquet(out).collect()) == [f"k{i}" for i in range(5)]

@@ -220,6 +220,25 @@ def test_bad_timestamp_is_rejected_not_raised(spark):
 def test_round2_half_way(spark):
     df = spark.createDataFrame([(2.675,), (-2.675,), (1.005,), (None,)], "x double")
     assert [r[0] for r in df.select(fn.round2("x")).collect()] == [2.68, -2.68, 1.01, None]
+    odd = spark.createDataFrame([(0.0049999999999,), (1e30,), (float("nan"),)], "x double").select(fn.round2("x")).collect()
+    assert [r[0] for r in odd][:2] == [0.0, 1e30] and odd[2][0] != odd[2][0]
+
+
+def test_exact_sum_does_not_depend_on_order(spark):
+    values = [(1, x) for x in (0.1, 0.2, 0.3, 1e9, -1e9)] + [(2, 1e300), (2, 1.0), (3, None)]
+    for rows in (values, values[::-1]):
+        got = {r.g: r.s for r in spark.createDataFrame(rows, "g int, x double").repartition(3).groupBy("g").agg(fn.exact_sum("x").alias("s")).collect()}
+        assert got == {1: 0.6, 2: 1e300, 3: None}
+
+
+def test_dedup_of_rows_whose_nulls_stand_elsewhere(spark):
+    rows = [("k", "X", None), ("k", None, "X")]
+    kept = set()
+    for some in (rows, rows[::-1]):
+        for parts in (1, 2, 5):
+            df = spark.createDataFrame(some, "key string, country string, region string").repartition(parts)
+            kept.add(tuple(dedup(df, "key").first()))
+    assert len(kept) == 1
 
 
 # ---- quality -------------------------------------------------------------------------------
