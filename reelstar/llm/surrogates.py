@@ -14,8 +14,9 @@ numbers, IBANs, IPv4 addresses, access keys, values after ``password=``,
   and the script (Latin, Cyrillic).
 * A surrogate is drawn from a keyed SHA-512 of type, normal form and attempt.
   Collision check: within a type, no two entities may have one surrogate and
-  none may be a real entity of the corpus; those that fail draw again. The
-  check is a grouping of the distinct entities, repeated until none fails.
+  none may be a real entity of the corpus; those that fail draw again. Names
+  get more syllables with each attempt, so there are always enough. The check
+  is a grouping of the distinct entities, repeated until none fails.
 
 Null texts stay null and empty ones empty; texts without entities are
 unchanged. Rows equal in doc_id and text are equal in the result. An empty
@@ -127,6 +128,11 @@ def _card(norm: Column, stream: Column) -> Column:
     return F.when(F.pmod(_luhn(norm), F.lit(10)) == 0, F.concat(cut, check.cast("string"))).otherwise(body)
 
 
+def _syllables(parts: str, stream: Column, n: Column) -> Column:
+    """So many syllables: a space that grows with every attempt."""
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: _pick(parts, _byte(stream, i + 6))), "")
+
+
 def _core(key: str) -> Column:
     """Surrogate of an entity (type, norm) at an attempt."""
     kind, norm, attempt = F.col("type"), F.col("norm"), F.col("attempt")
@@ -160,11 +166,12 @@ def _core(key: str) -> Column:
     for kind_of, names in GIVEN.items():
         given = _pick(names, _byte(stream, F.lit(0)))
         second = F.concat(given, F.lit("-"), _pick(names, _byte(stream, F.lit(1))))
-        third = F.concat(second, F.lit("-"), _pick(names, _byte(stream, F.lit(2)) * 256 + _byte(stream, F.lit(3))))
-        out = out.when(kind == f"given_{kind_of}", F.when(attempt == 0, given).when(attempt < 8, second).otherwise(third))
+        third = F.concat(given, F.lit("-"), F.initcap(_syllables(SYLLABLES[kind_of.split("_")[1]], stream, attempt + 1)))
+        out = out.when(kind == f"given_{kind_of}", F.when(attempt == 0, given).when(attempt < 2, second).otherwise(third))
     for script, parts in SYLLABLES.items():
         picked = [_pick(parts, _byte(stream, F.lit(i))) for i in range(6)]
         name = F.concat(*picked[:3], *[F.when(attempt > 2 * i, p).otherwise(F.lit("")) for i, p in enumerate(picked[3:])])
+        name = F.concat(name, F.when(attempt > 6, _syllables(parts, stream, attempt - 6)).otherwise(F.lit("")))
         out = out.when(kind == f"surname_{script}", F.initcap(name))
     return out
 

@@ -267,6 +267,13 @@ def test_surrogates(spark, odd):
     assert surrogates.replace_pii(odd.limit(0), "k").count() == 0
 
 
+def test_more_given_names_than_the_lists_hold(spark):
+    pairs = [(kind, f"N{i}") for kind, n in (("given_male_latin", 4600), ("given_any_cyrillic", 700)) for i in range(n)]
+    pairs += [("given_male_latin", n) for n in surrogates.GIVEN["male_latin"].split()]
+    made = surrogates.assigned(spark, spark.createDataFrame(pairs, "type string, norm string"), "k").collect()
+    assert len(made) == len({(r.type, r.core) for r in made}) == len(pairs) and not {(r.type, r.core) for r in made} & set(pairs)
+
+
 def test_pipeline_stages(spark, docs, odd):
     kept, before = docs, docs.count()
     for name, stage in corpus_pipeline.STAGES[:-1]:
