@@ -1,7 +1,7 @@
 """PII surrogates: keyed, type-consistent replacements, in DataFrame functions only.
 
 Entities: e-mail addresses, phone numbers, payment cards, US social security
-numbers, IBANs, IPv4 addresses, access keys, values after ``password=``,
+numbers, IBANs, IPv4 and IPv6 addresses, access keys, values after ``password=``,
 ``token =`` and the like, and names after a title.
 
 * Every entity has a normal form (lower-case address, digits only, ...), and
@@ -11,7 +11,8 @@ numbers, IBANs, IPv4 addresses, access keys, values after ``password=``,
   digit and a valid check digit, a hexadecimal secret stays hexadecimal.
 * A name's given names and its surname are entities of their own, so "Mr John
   Smith" and "Mr Smith" stay one person. Given names follow the title's gender
-  and the script (Latin, Cyrillic).
+  and the script (Latin, Cyrillic). A name has any number of parts; an initial is
+  a given name, and particles ("van", "de") go.
 * A surrogate is drawn from a keyed SHA-512 of type, normal form and attempt.
   Collision check: within a type, no two entities may have one surrogate and
   none may be a real entity of the corpus; those that fail draw again. Names
@@ -34,21 +35,30 @@ _SECRET = r"(?i:password|passwd|pwd|token|secret|api_key|apikey|access_key)[\"']
 _MALE = r"Mr|Sir|Herr|Monsieur|Señor|Sr|г-н"
 _FEMALE = r"Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Srta|г-жа"
 _TITLE = rf"(?:{_FEMALE}|{_MALE}|Dr|Prof)\.? "
+_WORD = r"(?:\p{Lu}\.|\p{Lu}\p{L}*+(?:['’](?!s\b)\p{L}++)*+)"  # an initial, or a name with apostrophes
+_PARTICLE = r"(?:von|van|vom|zu|zur|de|der|den|del|della|di|da|das|dos|du|la|le|ter|ten|bin|ibn|al|el|af|av)"
+_HEX = "[0-9A-Fa-f]{1,4}"
 # type: pattern; the first that fits the whole mention names it
 TYPES = {
     "secret": _SECRET + r"[A-Za-z0-9+/_.~-]{5,}[A-Za-z0-9+/_~=-]",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "key": r"\b(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})\b",
+    "key": r"\b(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9_-]{20,}+)(?![A-Za-z0-9])",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
+    "ipv6": (
+        rf"(?<![0-9A-Za-z:.])(?=[:A-Fa-f]*[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{0,6}})?::(?:{_HEX}(?::{_HEX}){{0,6}})?)(?![0-9A-Za-z:])"
+    ),
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": (
         r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
-        r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])"
-        r"|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9.-])"
+        r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9]|[ .-][0-9])"
+        r"|\+(?=(?:[ ().-]{0,3}[0-9]){7,15}(?![0-9]))[0-9]{1,3}(?:[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})){2,14}(?![0-9])"
+        r"|(?<![0-9.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"
+        r"|(?<![0-9.,-])0[0-9](?:[ .-][0-9]{2}){4}(?![0-9]|[.,-][0-9])"
+        r"|(?<![0-9.,-])0[0-9]{2,4}[ /-][0-9]{5,8}(?![0-9]|[.,-][0-9])"
     ),
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2,3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
-    "name": rf"\b{_TITLE}\p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+){{0,2}}",
+    "name": rf"\b{_TITLE}(?:{_PARTICLE} )*+{_WORD}(?:(?:[ -]|(?<=\.))(?:{_PARTICLE} )*+{_WORD})*+",
 }
 ANY = "|".join(f"(?:{p})" for p in TYPES.values())
 GIVEN = {  # fixed values: replacement names
@@ -156,6 +166,7 @@ def _core(key: str) -> Column:
     out = (
         F.when(kind == "email", email)
         .when(kind == "ip", F.concat_ws(".", *octet))
+        .when(kind == "ipv6", F.concat_ws(":", *[F.substring(stream, 4 * i + 1, 4) for i in range(8)]))
         .when(kind == "phone", _digits(norm, stream, country))
         .when(kind == "ssn", _digits(norm, stream, F.lit(0)))
         .when(kind == "card", _card(norm, stream))
@@ -196,7 +207,7 @@ def _described(mentions: DataFrame) -> DataFrame:
     value = F.substring(m, F.length("lead") + 1, F.length(m))
     norm = (
         F.when(F.col("type").isin("phone", "ssn", "card"), F.regexp_replace(m, "[^0-9]", ""))
-        .when(F.col("type") == "email", F.lower(m))
+        .when(F.col("type").isin("email", "ipv6"), F.lower(m))
         .when(F.col("type") == "iban", F.regexp_replace(m, " ", ""))
         .otherwise(F.col("value"))
     )
@@ -209,12 +220,12 @@ def _name_parts(names: DataFrame) -> DataFrame:
     title = F.regexp_replace("lead", r"\.? $", "")
     gender = F.when(title.rlike(f"^(?:{_FEMALE})$"), "female").when(title.rlike(f"^(?:{_MALE})$"), "male").otherwise("any")
     script = F.when(F.col("value").rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
-    parts = names.select("mention", gender.alias("gender"), script.alias("script"), F.split("value", "[ -]").alias("all"))
+    parts = names.select("mention", gender.alias("gender"), script.alias("script"), F.split(F.regexp_replace("value", rf"\b{_PARTICLE} ", ""), r"[ -]|(?<=\.)(?=\p{L})").alias("all"))
     parts = parts.select("*", F.posexplode("all").alias("pos", "part"))
     kind = F.when(F.col("pos") == F.size("all") - 1, F.concat(F.lit("surname_"), F.col("script"))).otherwise(
         F.concat(F.lit("given_"), F.col("gender"), F.lit("_"), F.col("script"))
     )
-    return parts.select("mention", "pos", kind.alias("type"), F.initcap("part").alias("norm"))
+    return parts.select("mention", "pos", kind.alias("type"), F.initcap(F.regexp_replace("part", r"\.$", "")).alias("norm"))
 
 
 def assigned(spark: SparkSession, entities: DataFrame, key: str) -> DataFrame:

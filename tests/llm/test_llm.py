@@ -274,6 +274,23 @@ def test_more_given_names_than_the_lists_hold(spark):
     assert len(made) == len({(r.type, r.core) for r in made}) == len(pairs) and not {(r.type, r.core) for r in made} & set(pairs)
 
 
+FORMATS = [
+    "Mr Juan Carlos Garcia Lopez", "Mr. J. Smith", "Mr O'Brien", "Frau Anna von der Heide", "+33 1 23 45 67 89", "+33 6 12 34 56 78", "+1 (988) 555-2485",
+    "+49 171 1234567", "555 123 4567", "0171 1234567", "01 23 45 67 89", "2001:db8::8a2e:370:7334", "2001:0db8:0:0:0:8a2e:370:7334", "::1",
+    "sk-proj-" + "aB3_x-" * 20 + "z", "ghp_" + "a1B2" * 12, "4111 1111 1111 1111", "16.2.3.4", "123-45-6789",
+]
+
+
+def test_every_format_is_found_whole(spark):
+    texts = [(i, f"so {m}, then") for i, m in enumerate(FORMATS)] + [(99, "std::vector at 10:30, Mr is a title; 1 000 000")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    found = dict(frame.select("doc_id", F.regexp_extract_all("text", F.lit(surrogates.ANY), F.lit(0))).collect())
+    assert found == {i: [m] for i, m in enumerate(FORMATS)} | {99: []}
+    got = {r.doc_id: r.text for r in surrogates.replace_pii(frame, "k").collect()}
+    assert got[99] == texts[-1][1] and all(m not in got[i] for i, m in enumerate(FORMATS))
+    assert not any(w in got[i] for i in range(4) for w in ("Juan", "Garcia", "Lopez", "Smith", "Brien", "Heide"))
+
+
 def test_pipeline_stages(spark, docs, odd):
     kept, before = docs, docs.count()
     for name, stage in corpus_pipeline.STAGES[:-1]:
