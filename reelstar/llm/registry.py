@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
+from . import line_rules, merkle_log, ranked_search
 from .bottom_k import fingerprint_edits
 from .common import table
 from .crf_language import identify
@@ -64,11 +65,24 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_log.prove_tampered(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_rules.clean_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text", "clean_text")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_rp_forest, op2_pii_surrogates, op3_nbsvm_quality, op4_bottom_k_fingerprints, op5_token_files, op6_packing, op7_crf_language, op8_lexicon_bpe, op9_fuzzy_lines, op10_ngram_join, pipeline)
+    f.__name__: f for f in (op1_rp_forest, op2_pii_surrogates, op3_nbsvm_quality, op4_bottom_k_fingerprints, op5_token_files, op6_packing, op7_crf_language, op8_lexicon_bpe, op9_fuzzy_lines, op10_ngram_join, op11_ranked_search, op12_merkle_log, op13_line_rules, pipeline)
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_ranked_search": ranked_search.SQL, "op12_merkle_log": merkle_log.SQL, "op13_line_rules": line_rules.SQL}
