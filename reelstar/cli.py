@@ -8,8 +8,8 @@
 * ``validate`` — the validation/analytics SQL and the quality report over
   the registered curated tables; ``--fail-on-quality`` makes a failed gate
   fail the job.
-* ``profile`` — field/type profile of raw JSON records (one record per line,
-  or one document per file with ``--multiline``).
+* ``profile`` — field/type profile of raw JSON records, whatever the layout
+  of their files (lines, array pages, pretty-printed documents).
 
 Reports are printed as JSON lines, at most ``--limit`` rows each (a preview
 taken with ``limit``; nothing unbounded is collected to the driver). Full
@@ -23,7 +23,7 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from reelstar import schemas
@@ -34,6 +34,7 @@ from reelstar.plans import analytics as an
 from reelstar.plans import incremental, pipeline
 from reelstar.session import build_session
 from reelstar.sources import raw
+from reelstar.sources.json_layout import scan_records
 
 
 def _rules(values: list[str] | None):
@@ -53,33 +54,28 @@ def _print_rows(df, limit: int = 100) -> None:
 
 def cmd_transform(spark: SparkSession, a: argparse.Namespace) -> int:
     runs = a.runs if a.incremental else raw.ALL_RUNS
-    found = raw.scan_events(spark, a.raw, multiline=a.multiline, runs=runs, allow_missing=a.incremental, keep_corrupt=True)
-    malformed = Observation("malformed")
-    found = found.observe(malformed, F.count_if(F.col(raw.CORRUPT).isNotNull()).alias("records"))
-    events, corrupt = raw.split_corrupt(found)
+    scans = {
+        "events": raw.scan_events(spark, a.raw, runs=runs, allow_missing=a.incremental, keep_corrupt=True),
+        "media_metadata": raw.scan_metadata(spark, a.raw, allow_missing=True, keep_corrupt=True),
+        "media_stats": raw.scan_stats(spark, a.raw, allow_missing=True, keep_corrupt=True),
+    }
+    good, set_aside = {}, None
+    for kind, found in scans.items():
+        good[kind], corrupt = raw.split_corrupt(found)
+        corrupt = corrupt.select(F.lit(kind).alias("kind"), "*")
+        set_aside = corrupt if set_aside is None else set_aside.unionByName(corrupt)
+    # Malformed records of all kinds, counted and (with --quarantine) written in one job.
     if a.quarantine:
-        corrupt.write.mode("overwrite").json(a.quarantine)
-    if a.incremental:
-        counts = incremental.run_incremental_transform(
-            spark,
-            events,
-            raw.scan_metadata(spark, a.raw, multiline=a.multiline, allow_missing=True),
-            raw.scan_stats(spark, a.raw, multiline=a.multiline, allow_missing=True),
-            a.curated,
-            channel_rules=_rules(a.channel_rule),
-            db=a.db,
-        )
-    else:
-        counts = pipeline.run_transform(
-            spark,
-            events,
-            raw.scan_metadata(spark, a.raw, multiline=a.multiline, allow_missing=True),
-            raw.scan_stats(spark, a.raw, multiline=a.multiline, allow_missing=True),
-            a.curated,
-            channel_rules=_rules(a.channel_rule),
-            db=a.db,
-        )
-    counts["quarantined_records" if a.quarantine else "malformed_records"] = malformed.get["records"]
+        set_aside.write.mode("overwrite").json(a.quarantine)
+        set_aside = spark.read.schema(set_aside.schema).json(a.quarantine)
+    malformed = {r["kind"]: r["n"] for r in set_aside.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    build = incremental.run_incremental_transform if a.incremental else pipeline.run_transform
+    counts = build(
+        spark, good["events"], good["media_metadata"], good["media_stats"], a.curated, channel_rules=_rules(a.channel_rule), db=a.db
+    )
+    name = "quarantined_records" if a.quarantine else "malformed_records"
+    counts[name] = sum(malformed.values())
+    counts[f"{name}_by_kind"] = malformed
     print(json.dumps(counts))
     return 0
 
@@ -112,12 +108,8 @@ def cmd_validate(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def cmd_profile(spark: SparkSession, a: argparse.Namespace) -> int:
-    records = spark.read.text(a.path, wholetext=a.multiline).select(F.col("value").alias("json"))
-    if a.multiline:
-        # one JSON document per file: profile the elements of top-level arrays
-        records = records.select(
-            F.explode(F.coalesce(F.from_json("json", "array<string>"), F.array("json"))).alias("json")
-        )
+    # Any layout: the records of lines, array pages and documents alike.
+    records = scan_records(spark, a.path).select(F.col("record").alias("json"))
     reports = {"fields": pf.field_profile(spark, records)}
     if a.nested:
         reports["nested"] = pf.nested_profile(spark, records)
@@ -139,7 +131,6 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--raw", required=True)
     t.add_argument("--curated", required=True)
     t.add_argument("--db", default=None)
-    t.add_argument("--multiline", action="store_true", help="raw files are JSON arrays (one document per file)")
     t.add_argument("--channel-rule", action="append", help="needle=Label, in priority order")
     t.add_argument("--quarantine", default=None, help="write malformed event records here (JSON) instead of transforming them")
     t.add_argument("--incremental", action="store_true", help="merge only --runs into the dedup store, then rebuild")
@@ -165,7 +156,6 @@ def parser() -> argparse.ArgumentParser:
 
     pr = sub.add_parser("profile")
     pr.add_argument("--path", required=True)
-    pr.add_argument("--multiline", action="store_true")
     pr.add_argument("--nested", action="store_true")
     pr.add_argument("--out", default=None, help="write the full profiles as Parquet under this path")
     pr.set_defaults(run=cmd_profile)

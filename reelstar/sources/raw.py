@@ -14,20 +14,21 @@ between the ``k=v`` levels makes Spark reject the tree once two runs exist,
 and with one run the path value would silently override the payload. Run
 and media ids are taken from ``_metadata.file_path`` by regex instead.
 
-Files written by :mod:`reelstar.sinks.landing` are JSON lines
-(``multiline=False``, splittable by record); files in the array-per-page
-form are read with ``multiline=True`` (one document per file).
+The layout of a file (JSON lines, array pages, pretty-printed documents) is
+found from its text, see :mod:`reelstar.sources.json_layout`. Malformed records
+of any of the three kinds are no rows; they can be kept and set aside.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from reelstar import schemas
 from reelstar.functions import columns as fn
+from reelstar.sources.json_layout import CORRUPT, scan, split_corrupt
 
 ALL_RUNS = "run_date=*/run_id=*"
 EVENTS_GLOB = f"{ALL_RUNS}/events/media_id=*/*"
@@ -35,7 +36,6 @@ METADATA_GLOB = f"{ALL_RUNS}/media_metadata.json"
 STATS_GLOB = f"{ALL_RUNS}/media_stats/*"
 MANIFEST_GLOB = f"{ALL_RUNS}/run_manifest.json"
 
-CORRUPT = "_corrupt_record"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: directory of a null partition key
 
 
@@ -48,34 +48,25 @@ def read_json(
     path: str | list[str],
     schema: StructType,
     *,
-    multiline: bool = False,
     allow_missing: bool = False,
     keep_corrupt: bool = False,
 ) -> DataFrame:
     """JSON with an explicit schema plus the source path.
 
-    Unknown fields are ignored, malformed records land in ``_corrupt_record``
-    when ``keep_corrupt`` (otherwise their fields are null). With
+    Unknown fields are ignored. Malformed records are left out, or with
+    ``keep_corrupt`` kept with their text in ``_corrupt_record``. With
     ``allow_missing`` an empty glob gives an empty typed frame instead of
     ``PATH_NOT_FOUND`` (first run).
     """
-    read_schema = schema
-    if keep_corrupt:
-        read_schema = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
-    reader = (
-        spark.read.schema(read_schema)
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-    )
-    try:
-        df = reader.json(path)
-    except AnalysisException as exc:
-        if allow_missing and "PATH_NOT_FOUND" in str(exc):
-            out = StructType(list(read_schema.fields) + [StructField("_source_file", StringType(), True)])
-            return _empty(spark, out)
-        raise
-    return df.withColumn("_source_file", F.col("_metadata.file_path"))
+    found = scan(spark, path, schema, allow_missing=allow_missing)
+    return found if keep_corrupt else split_corrupt(found)[0]
+
+
+def counted(found: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """A scan that counts its records and malformed records while it is read."""
+    totals = Observation(name)
+    corrupt = F.count_if(F.col(CORRUPT).isNotNull()) if CORRUPT in found.columns else F.lit(None).cast("long")
+    return found.observe(totals, F.count(F.lit(1)).alias("records"), corrupt.alias("malformed")), totals
 
 
 def with_run(df: DataFrame) -> DataFrame:
@@ -109,7 +100,6 @@ def scan_events(
     spark: SparkSession,
     raw_root: str,
     *,
-    multiline: bool = False,
     allow_missing: bool = False,
     runs: str = ALL_RUNS,
     keep_corrupt: bool = False,
@@ -122,44 +112,27 @@ def scan_events(
     their text in ``_corrupt_record``, to be counted and set aside
     (see :func:`split_corrupt`)."""
     glob = EVENTS_GLOB.replace(ALL_RUNS, runs, 1)
-    df = read_json(
-        spark,
-        f"{raw_root.rstrip('/')}/{glob}",
-        schemas.RAW_EVENT,
-        multiline=multiline,
-        allow_missing=allow_missing,
-        keep_corrupt=True,
-    )
-    from_path = F.when(F.col(CORRUPT).isNull(), events_media_from_path("_source_file"))
-    df = df.withColumn("media_id", F.coalesce("media_id", from_path))
-    return df if keep_corrupt else split_corrupt(df)[0]
-
+    found = read_json(spark, f"{raw_root.rstrip('/')}/{glob}", schemas.RAW_EVENT, allow_missing=allow_missing, keep_corrupt=True)
+    found = with_path_media(found)
+    return found if keep_corrupt else split_corrupt(found)[0]
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Separate malformed records from good ones (a quarantine, not a drop).
 
-    Returns ``(good, corrupt)``: ``good`` without the corrupt-record column,
-    ``corrupt`` with the raw text and its source file, to be written aside and
-    counted. Both are lazy filters of the same scan.
-    """
-    if CORRUPT not in df.columns:
-        return df, df.where(F.lit(False))
-    # Spark refuses a JSON query that needs the corrupt column alone (a count of
-    # the good records): the condition therefore names a payload column as well.
-    text = F.coalesce(F.col(CORRUPT), F.when(F.col(CORRUPT).isNotNull(), F.col("event_key")))
-    good = df.where(text.isNull()).drop(CORRUPT)
-    corrupt = df.where(F.col(CORRUPT).isNotNull()).select("event_key", CORRUPT, "_source_file")
-    return good, corrupt
+def with_path_media(events: DataFrame) -> DataFrame:
+    """``media_id`` of the record, else of its directory; a malformed record has none."""
+    from_path = F.when(F.col(CORRUPT).isNull(), events_media_from_path("_source_file"))
+    return events.withColumn("media_id", F.coalesce("media_id", from_path))
 
 
-def scan_metadata(spark: SparkSession, raw_root: str, *, multiline: bool = False, allow_missing: bool = False) -> DataFrame:
-    """S3: every media-metadata snapshot."""
-    return read_json(spark, f"{raw_root.rstrip('/')}/{METADATA_GLOB}", schemas.RAW_METADATA, multiline=multiline, allow_missing=allow_missing)
+def scan_metadata(spark: SparkSession, raw_root: str, *, allow_missing: bool = False, keep_corrupt: bool = False) -> DataFrame:
+    """S3: every media-metadata snapshot; a malformed record is no media."""
+    path = f"{raw_root.rstrip('/')}/{METADATA_GLOB}"
+    return read_json(spark, path, schemas.RAW_METADATA, allow_missing=allow_missing, keep_corrupt=keep_corrupt)
 
 
-def scan_stats(spark: SparkSession, raw_root: str, *, multiline: bool = False, allow_missing: bool = False) -> DataFrame:
-    """One stats object per media per run."""
-    return read_json(spark, f"{raw_root.rstrip('/')}/{STATS_GLOB}", schemas.RAW_STATS, multiline=multiline, allow_missing=allow_missing)
+def scan_stats(spark: SparkSession, raw_root: str, *, allow_missing: bool = False, keep_corrupt: bool = False) -> DataFrame:
+    """One stats object per media per run; a malformed one leaves the media's earlier rate in force."""
+    path = f"{raw_root.rstrip('/')}/{STATS_GLOB}"
+    return read_json(spark, path, schemas.RAW_STATS, allow_missing=allow_missing, keep_corrupt=keep_corrupt)
 
 
 def scan_manifests(spark: SparkSession, raw_root: str, *, allow_missing: bool = True) -> DataFrame:

@@ -20,30 +20,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
 
 from reelstar import schemas
 from reelstar.functions import columns as fn
-from reelstar.sources.raw import CORRUPT, EVENTS_GLOB, events_media_from_path, with_run
+from reelstar.sources.json_layout import scan_stream, split_corrupt
+from reelstar.sources.raw import EVENTS_GLOB, with_path_media, with_run
 
 EVENT_TIME = "event_time"
 
 
-def read_event_stream(
-    spark: SparkSession, raw_root: str, *, multiline: bool = False, max_files_per_trigger: int | None = None
-) -> DataFrame:
+def read_event_stream(spark: SparkSession, raw_root: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
     """X6 source: landed event files as an unbounded table.
 
-    JSON lines, or with ``multiline`` one array page per file. Malformed
-    records are left out, as in the batch reader.
+    The layout of each file is found from its text and malformed records are
+    left out, as in the batch reader.
     """
-    schema = StructType(list(schemas.RAW_EVENT.fields) + [StructField(CORRUPT, StringType(), True)])
-    reader = spark.readStream.schema(schema).option("multiLine", multiline).option("columnNameOfCorruptRecord", CORRUPT)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.json(f"{raw_root.rstrip('/')}/{EVENTS_GLOB}")
-    df = df.withColumn("_source_file", F.col("_metadata.file_path")).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    df = df.withColumn("media_id", F.coalesce("media_id", events_media_from_path("_source_file")))
+    path = f"{raw_root.rstrip('/')}/{EVENTS_GLOB}"
+    found = with_path_media(scan_stream(spark, path, schemas.RAW_EVENT, max_files_per_trigger=max_files_per_trigger))
+    df = split_corrupt(found)[0]
     # Event time must be TIMESTAMP (not NTZ) for a watermark; parsing the ISO
     # string with the session pinned to UTC gives exactly that.
     return with_run(df).withColumn(EVENT_TIME, fn.parse_ts("received_at"))
@@ -61,7 +55,6 @@ def start_landing_stream(
     checkpoint_location: str,
     *,
     watermark: str | None = "2 days",
-    multiline: bool = False,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Stream landed events into a Parquet event table (append, exactly-once).
@@ -70,7 +63,7 @@ def start_landing_stream(
     its own ``batch_id=N`` directory in overwrite mode, so a batch replayed
     after a failure replaces its earlier partial output instead of doubling it.
     """
-    events = read_event_stream(spark, raw_root, multiline=multiline)
+    events = read_event_stream(spark, raw_root)
     if watermark:
         events = dedup_stream(events, watermark)
 

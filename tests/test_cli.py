@@ -33,7 +33,7 @@ def test_land_transform_validate_profile(spark, tmp_path, capsys):
     q_root, q_path = str(tmp_path / "curated_q"), str(tmp_path / "quarantine")
     assert cli.main(["transform", "--raw", raw_root, "--curated", q_root, "--quarantine", q_path], spark) == 0
     q_counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert q_counts["quarantined_records"] == 1 and q_counts["fact_media_engagement"] == 1000
+    assert q_counts["quarantined_records"] == 1 and q_counts["quarantined_records_by_kind"] == {"events": 1} and q_counts["fact_media_engagement"] == 1000
 
     inc_root = str(tmp_path / "curated_inc")
     assert cli.main(["transform", "--raw", raw_root, "--curated", inc_root, "--incremental",

@@ -35,17 +35,115 @@ def test_array_pages_two_runs_by_glob(spark, tmp_path):
         _write_page(str(base / "events" / "media_id=m1" / "page_001.json"), [{"event_key": key, "media_id": "m1", "received_at": "2026-08-15T07:51:28.000Z", "percent_viewed": 1}])
         _write_page(str(base / "media_metadata.json"), [{"hashed_id": "m1", "name": "T", "updated": run_date + "T00:00:00.000Z", "duration": 10}])
         _write_page(str(base / "media_stats" / "m1.json"), {"play_rate": 0.5})
-    ev = raw.with_run(raw.scan_events(spark, str(root), multiline=True))
+    ev = raw.with_run(raw.scan_events(spark, str(root)))
     rows = sorted((r.event_key, r.run_id, r.percent_viewed) for r in ev.collect())
     assert rows == [("a", "20260815T060000Z", 1.0), ("b", "20260816T060000Z", 1.0)]  # whole numbers stay double
     assert ev.schema["user_agent_details"].dataType == schemas.USER_AGENT  # absent everywhere, still typed
     assert ev.where(F.col("user_agent_details").isNotNull()).count() == 0
-    stats = st.latest_stats(raw.scan_stats(spark, str(root), multiline=True)).collect()
+    stats = st.latest_stats(raw.scan_stats(spark, str(root))).collect()
     assert [(r.media_id, r.run_id) for r in stats] == [("m1", "20260816T060000Z")]
-    meta = raw.scan_metadata(spark, str(root), multiline=True)
+    meta = raw.scan_metadata(spark, str(root))
     assert meta.count() == 2
 
 
+_ROWS = [{"event_key": f"k{i}", "media_id": "m1", "received_at": f"2026-08-15T07:51:{i:02d}.000Z", "percent_viewed": i / 8, "user_agent_details": {"browser": "{b,\n[", "mobile": i % 2 == 0}} for i in range(5)]
+_LAYOUTS = {
+    "lines": "\n".join(json.dumps(r) for r in _ROWS) + "\n",
+    "crlf_lines": "\r\n".join(json.dumps(r) for r in _ROWS) + "\r\n\r\n",
+    "page": json.dumps(_ROWS),
+    "pretty_page": json.dumps(_ROWS, indent=2),
+    "tabbed_page": json.dumps(_ROWS, indent="\t") + "\n",
+    "record_a_line": "[\n" + ",\n".join(json.dumps(r) for r in _ROWS) + "\n]\n",
+    "pages_by_line": json.dumps(_ROWS[:2]) + "\n" + json.dumps(_ROWS[2:]) + "\n",
+    "hugging": "[" + ", ".join(json.dumps(r, indent=1) for r in _ROWS) + "]",
+    "indented_lines": "\n".join("  " + json.dumps(r) for r in _ROWS),
+    "bom_page": "\ufeff" + json.dumps(_ROWS, indent=2),
+    "empty": "",
+    "empty_page": "[]\n",
+    "empty_pretty_page": "[\n\n]\n",
+}
+
+
+def _write_layouts(root):
+    for name, text in _LAYOUTS.items():
+        path = root / "run_date=2026-08-15" / "run_id=20260815T060000Z" / "events" / f"media_id={name}" / "page_001.json"
+        path.parent.mkdir(parents=True)
+        path.write_text(text, newline="")
+
+
+def _by_file(rows):
+    found = {name: [] for name in _LAYOUTS}
+    for r in rows:
+        found[r._source_file.split("media_id=")[1].split("/")[0]].append(r)
+    return found
+
+
+def test_every_layout_of_one_tree_gives_the_same_records(spark, tmp_path):
+    _write_layouts(tmp_path / "raw")
+    expected = [(r["event_key"], r["percent_viewed"], r["user_agent_details"]["browser"]) for r in _ROWS]
+
+    def check(rows):
+        for name, found in _by_file(rows).items():
+            got = sorted((r.event_key, r.percent_viewed, r.user_agent_details.browser) for r in found)
+            assert got == ([] if name.startswith("empty") else expected), name
+
+    check(raw.scan_events(spark, str(tmp_path / "raw")).collect())
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")  # files cut between and within records
+    try:
+        check(raw.scan_events(spark, str(tmp_path / "raw")).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    out = str(tmp_path / "out")
+    query = stream.read_event_stream(spark, str(tmp_path / "raw")).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+    query.trigger(availableNow=True).start(out).awaitTermination()
+    check(spark.read.parquet(out).collect())
+
+
+def test_malformed_records_of_every_layout_are_kept_aside(spark, tmp_path):
+    good, one, two = (json.dumps(r) for r in _ROWS[:3])
+    cases = {
+        "cut_line": (f"{good}\n{one[:30]}\n{two}\n", 2, 1),
+        "two_cut_lines": (f"{one[:30]}\n{good}\n{two[:9]}\n", 1, 2),
+        "cut_pretty_page": (json.dumps(_ROWS, indent=2)[:-40], 0, 1),
+        "cut_page": (json.dumps(_ROWS)[:-4], 0, 1),
+        "wrong_type": ('{"event_key": "a", "percent_viewed": "much"}\n' + good, 1, 1),
+        "no_objects": ('[1, null, "x"]\n' + good, 1, 3),
+    }
+    for name, (text, _, _) in cases.items():
+        path = tmp_path / "raw" / "run_date=2026-08-15" / "run_id=20260815T060000Z" / "events" / f"media_id={name}" / "page_001.json"
+        path.parent.mkdir(parents=True)
+        path.write_text(text)
+    found = raw.scan_events(spark, str(tmp_path / "raw"), keep_corrupt=True)
+    watched, totals = raw.counted(found, "events")
+    rows = watched.collect()
+    for name, (_, well, ill) in cases.items():
+        own = [r for r in rows if f"media_id={name}/" in r._source_file]
+        assert (sum(r._corrupt_record is None for r in own), sum(r._corrupt_record is not None for r in own)) == (well, ill), name
+    assert totals.get == {"records": sum(a + b for _, a, b in cases.values()), "malformed": sum(b for _, _, b in cases.values())}
+    events, corrupt = raw.split_corrupt(found)
+    assert events.count() == sum(a for _, a, _ in cases.values()) and corrupt.count() == sum(b for _, _, b in cases.values())
+    assert events.where("event_key is null").count() == 0
+
+
+def test_malformed_snapshots_do_not_reach_the_star(spark, tmp_path):
+    root = tmp_path / "raw"
+    for run_date, run_id, meta, stats in [
+        ("2026-08-15", "20260815T060000Z", json.dumps([{"hashed_id": "m1", "name": "T", "updated": "2026-08-15T00:00:00.000Z", "duration": 10}], indent=2), '{\n  "play_rate": 0.5\n}'),
+        ("2026-08-16", "20260816T060000Z", '[\n  {\n    "hashed_id": "m1", "na', '{\n  "play_rate": 0.'),
+    ]:
+        base = root / f"run_date={run_date}" / f"run_id={run_id}"
+        (base / "media_stats").mkdir(parents=True)
+        (base / "media_metadata.json").write_text(meta)
+        (base / "media_stats" / "m1.json").write_text(stats)
+        _write_page(str(base / "events" / "media_id=m1" / "page_001.json"), [{"event_key": run_date, "media_id": "m1", "received_at": f"{run_date}T07:51:28.000Z", "percent_viewed": 0.5}])
+    star = st.build_star(raw.scan_events(spark, str(root)), raw.scan_metadata(spark, str(root)), raw.scan_stats(spark, str(root)))
+    assert [(r.media_id, r.title) for r in star.dim_media.collect()] == [("m1", "T")]
+    assert [(r.play_rate, r.total_watch_time) for r in star.fact.collect()] == [(0.5, 5.0)] * 2
+    aside = [raw.split_corrupt(scan(spark, str(root), keep_corrupt=True))[1].count() for scan in (raw.scan_metadata, raw.scan_stats, raw.scan_events)]
+    assert aside == [1, 1, 0]
+
+
 def test_empty_glob_gives_empty_frame(spark, tmp_path):
     df = raw.scan_events(spark, str(tmp_path / "nothing"), allow_missing=True)
     assert df.count() == 0 and "event_key" in df.columns
@@ -244,5 +342,5 @@ def test_stream_reads_array_pages(spark, tmp_path):
     page = tmp_path / "raw" / "run_date=2026-08-15" / "run_id=20260815T060000Z" / "events" / "media_id=m1" / "page_001.json"
     _write_page(str(page), events)
     out = str(tmp_path / "out")
-    stream.start_landing_stream(spark, str(tmp_path / "raw"), out, str(tmp_path / "ckpt"), multiline=True).awaitTermination()
+    stream.start_landing_stream(spark, str(tmp_path / "raw"), out, str(tmp_path / "ckpt")).awaitTermination()
     assert sorted(r.event_key for r in spark.read.parquet(out).collect()) == [f"k{i}" for i in range(5)]
