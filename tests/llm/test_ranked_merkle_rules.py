@@ -199,7 +199,7 @@ def test_lines_that_fail_go_and_the_document_is_judged(spark):
         "Nobody knows who built it, or when.": False,
         "Das ist ein Satz, der \"endet.\"": False,
         "他说这是一个句子。": False,
-        "It rose by 5% & fell again, he said.": False,
+        "It rose by 5% in May & fell again in June by about as much, he said to the press.": False,
         "": False,
     }
     frame = spark.createDataFrame([(i, f"{prose}\n{x}\nAnother one tells of boats that pass below it at night.") for i, x in enumerate(cases)], "doc_id long, text string")
