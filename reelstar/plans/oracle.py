@@ -216,12 +216,30 @@ _RECORDS = """recs AS (
 kv AS (SELECT j, unnest(json_keys(j)) AS field FROM recs)"""
 
 ORACLE: dict[str, str] = {
-    "scan_events": _q(f"SELECT {EVENT_COLS}, _source_file, run_id, run_date FROM raw_events_r"),
+    "scan_events": _q(
+        f"""SELECT {EVENT_COLS}, replace(_source_file, 'page_001', 'page_' || CAST(CAST(substr(event_key, 4) AS BIGINT) // 5000 AS VARCHAR)) AS _source_file,
+                   run_id, run_date FROM raw_events_r"""
+    ),
     "scan_metadata": _q(
-        "SELECT *, regexp_extract(_source_file, 'run_id=([^/]+)', 1) AS run_id, "
-        "regexp_extract(_source_file, 'run_date=([^/]+)', 1) AS run_date FROM raw_metadata"
+        """SELECT * EXCLUDE (_source_file), _source_file || '/part-' || CAST(CAST(substr(hashed_id, 2) AS BIGINT) // 5000 AS VARCHAR) AS _source_file,
+                  regexp_extract(_source_file, 'run_id=([^/]+)', 1) AS run_id,
+                  regexp_extract(_source_file, 'run_date=([^/]+)', 1) AS run_date FROM raw_metadata"""
     ),
     "scan_stats": _q("SELECT play_rate, _source_file, run_id, run_date, media_id FROM stats_r"),
+    "scan_quarantine": _q(
+        """, found AS (
+             SELECT 'events' AS kind, run_id, COUNT(*) AS good,
+                    COUNT(DISTINCT media_id || '/' || CAST(CAST(substr(event_key, 4) AS BIGINT) // 5000 AS VARCHAR)) AS files
+             FROM raw_events_r GROUP BY run_id
+             UNION ALL
+             SELECT 'media_metadata', run_id, COUNT(*), COUNT(DISTINCT CAST(substr(hashed_id, 2) AS BIGINT) // 5000) FROM meta_r GROUP BY run_id
+             UNION ALL
+             SELECT 'media_stats', run_id, COUNT(*), (SELECT COUNT(*) FROM part WHERE p_size < 10) FROM stats_r GROUP BY run_id)
+           SELECT kind, run_id, good + CASE WHEN run_id = '20240131T060000Z' THEN files ELSE 0 END AS records,
+                  CASE WHEN run_id = '20240131T060000Z' THEN files ELSE 0 END AS malformed FROM found"""
+    ),
+    "source_files": """SELECT 'events.parquet' AS source_table, COUNT(*) AS rows FROM events
+        UNION ALL SELECT 'part.parquet', COUNT(*) FROM part UNION ALL SELECT 'pages.parquet', COUNT(*) FROM pages""",
     "path_provenance": _q(
         """SELECT kind, _source_file, media_id,
                   regexp_extract(_source_file, 'run_id=([^/]+)', 1) AS run_id,

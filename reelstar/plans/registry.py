@@ -22,7 +22,8 @@ from reelstar.operators.latest import dedup, first_n_per_key, latest_per_key
 from reelstar.plans import analytics as an
 from reelstar.plans import star as st
 from reelstar.sources import fixtures as fx
-from reelstar.sources.raw import events_media_from_path, stats_media_id, with_run
+from reelstar.sources.json_layout import CORRUPT, parsed, records_of_text, split_corrupt
+from reelstar.sources.raw import events_media_from_path, stats_media_id, with_path_media, with_run
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,19 +65,54 @@ def _landing(spark: SparkSession, sf: str, lookback: int = 0) -> ld.LandingPlan:
 # ---- scans / provenance ------------------------------------------------------
 
 
+def _records(files: DataFrame, schema) -> DataFrame:
+    """Records of landed file texts, by the same reading as files: layout from the text, malformed ones marked."""
+    return parsed(files.select(F.inline(records_of_text(F.col("text"))), "_source_file"), schema)
+
+
+def _scans(spark, sf) -> dict[str, DataFrame]:
+    return {
+        "events": with_path_media(_records(fx.event_files(spark, sf), schemas.RAW_EVENT)),
+        "media_metadata": _records(fx.metadata_files(spark, sf), schemas.RAW_METADATA),
+        "media_stats": _records(fx.stats_files(spark, sf), schemas.RAW_STATS),
+    }
+
+
 def q_scan_events(spark, sf):
-    return _flat_events(with_run(fx.raw_events(spark, sf)))
+    return _flat_events(with_run(split_corrupt(_scans(spark, sf)["events"])[0]))
 
 
 def q_scan_metadata(spark, sf):
-    return with_run(fx.raw_metadata(spark, sf))
+    return with_run(split_corrupt(_scans(spark, sf)["media_metadata"])[0])
 
 
 def q_scan_stats(spark, sf):
-    df = fx.raw_stats(spark, sf)
+    df = split_corrupt(_scans(spark, sf)["media_stats"])[0]
     return with_run(df).withColumn("media_id", stats_media_id("_source_file"))
 
 
+def q_scan_quarantine(spark, sf):
+    """Records and malformed records of every run and kind."""
+    out = None
+    for kind, found in _scans(spark, sf).items():
+        one = with_run(found).groupBy("run_id").agg(
+            F.count(F.lit(1)).alias("records"), F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed")
+        )
+        one = one.select(F.lit(kind).alias("kind"), "run_id", "records", "malformed")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_source_files(spark, sf):
+    """Rows by the table that their file belongs to, from the reader's own file path."""
+    out = None
+    for name in ("events", "part", "pages"):
+        path = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.parquet)(/[^/]*)?$", 1).alias("source_table")
+        one = fx.table(spark, sf, name).select(path)
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("source_table").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def q_path_provenance(spark, sf):
     ev = fx.raw_events(spark, sf).select(
         F.lit("events").alias("kind"), "_source_file", events_media_from_path("_source_file").alias("media_id")
@@ -327,6 +363,8 @@ QUERIES: dict[str, Query] = {
     "scan_events": q_scan_events,
     "scan_metadata": q_scan_metadata,
     "scan_stats": q_scan_stats,
+    "scan_quarantine": q_scan_quarantine,
+    "source_files": q_source_files,
     "path_provenance": q_path_provenance,
     "sample_events": q_sample_events,
     "dedup_events": q_dedup_events,

@@ -44,6 +44,9 @@ EXTERNAL_FROM = 150.0  # events of this value or more belong to media outside th
 INCREMENTAL_MARK = "2024-01-20T12:00:00.000Z"  # checkpoint for the landing queries
 EARLY_MARK = "2024-01-12T00:00:00.000Z"  # of PROMO parts
 BAD_MARK = "unknown"  # of ECONOMY parts
+FILE_IDS = 5000  # ids whose records share a landed file
+CUT_RECORD = '{"event_key": "cut'  # last line of every file of run 2
+CUT_STATS = '{\n  "play_rate" : 0.'
 # Channel rules that match the adapter's page URLs (the defaults match none).
 ADAPTER_CHANNEL_RULES = (("blog.", "Blog"), ("//m.", "Mobile"))
 # ---------------------------------------------------------------------------
@@ -157,16 +160,68 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     it (one or two), instead of scanning the table once per run.
     """
     src = source_events(spark, sf_dir)
-    ts = fn.parse_ts("received_at")
-    runs = F.array_compact(
+    landed = src.withColumn("__run", F.explode(_run_of(F.col("received_at"))))
+    path = F.when(F.col("__run") == 1, _events_path(RUN1_DATE, RUN1_ID)).otherwise(_events_path(RUN2_DATE, RUN2_ID))
+    return landed.withColumn("_source_file", path).drop("__run")
+
+
+def _run_of(received: F.Column) -> F.Column:
+    """The runs that landed an event: one, or both where it was delivered again."""
+    ts = fn.parse_ts(received)
+    return F.array_compact(
         F.array(
             F.when(ts < F.to_timestamp(F.lit(RUN1_BEFORE)), F.lit(1)),
             F.when(ts >= F.to_timestamp(F.lit(RUN2_FROM)), F.lit(2)),
         )
     )
-    landed = src.withColumn("__run", F.explode(runs))
-    path = F.when(F.col("__run") == 1, _events_path(RUN1_DATE, RUN1_ID)).otherwise(_events_path(RUN2_DATE, RUN2_ID))
-    return landed.withColumn("_source_file", path).drop("__run")
+
+
+def _run_path(run: F.Column, *rest: F.Column) -> F.Column:
+    first = F.lit(f"raw/run_date={RUN1_DATE}/run_id={RUN1_ID}/")
+    second = F.lit(f"raw/run_date={RUN2_DATE}/run_id={RUN2_ID}/")
+    return F.concat(F.when(run == 1, first).otherwise(second), *rest)
+
+
+def _as_json(df: DataFrame, columns: list[str], pretty: bool) -> F.Column:
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false", "pretty": str(pretty).lower()})
+
+
+def _texts(records: DataFrame, columns: list[str]) -> DataFrame:
+    """``_source_file, text``: the records of a file as a pretty-printed page in run 1, as lines with a cut one in run 2.
+
+    Files are keyed by a range of ids, so none gathers more than ``FILE_IDS`` records.
+    """
+    both = records.select("_source_file", "run", F.when(F.col("run") == 1, _as_json(records, columns, True)).otherwise(_as_json(records, columns, False)).alias("json"))
+    files = both.groupBy("_source_file", "run").agg(F.collect_list("json").alias("all"))
+    page = F.concat(F.lit("[\n"), F.array_join("all", ",\n"), F.lit("\n]\n"))
+    lines = F.concat(F.array_join("all", "\n"), F.lit("\n" + CUT_RECORD + "\n"))
+    return files.select("_source_file", F.when(F.col("run") == 1, page).otherwise(lines).alias("text"))
+
+
+def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed event files of both runs as texts: ``_source_file, text``."""
+    src = source_events(spark, sf_dir)
+    number = F.substring("event_key", 4, 20).cast("long")
+    landed = src.withColumn("run", F.explode(_run_of(F.col("received_at"))))
+    page = F.concat(F.lit("/page_"), F.floor(number / FILE_IDS).cast("string"), F.lit(".json"))
+    return _texts(landed.withColumn("_source_file", _run_path(F.col("run"), F.lit("events/media_id="), F.col("media_id"), page)), src.columns)
+
+
+def metadata_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed metadata snapshots, in files of a directory."""
+    found = raw_metadata(spark, sf_dir)
+    columns = [c for c in found.columns if c != "_source_file"]
+    part = F.concat(F.col("_source_file"), F.lit("/part-"), F.floor(F.substring("hashed_id", 2, 20).cast("long") / FILE_IDS).cast("string"))
+    run = F.when(F.col("_source_file").contains(RUN1_ID), F.lit(1)).otherwise(F.lit(2))
+    return _texts(found.withColumn("run", run).withColumn("_source_file", part), columns)
+
+
+def stats_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed statistics, one object a file; those that run 2 does not serve are cut off in it."""
+    good = raw_stats(spark, sf_dir).select("_source_file", F.to_json(F.struct("play_rate"), {"pretty": "true"}).alias("text"))
+    path = _run_path(F.lit(2), F.lit("media_stats/m"), F.col("p_partkey").cast("string"), F.lit(".json"))
+    cut = _part(spark, sf_dir).where(F.col("p_size") < 10).select(path.alias("_source_file"), F.lit(CUT_STATS).alias("text"))
+    return good.unionByName(cut)
 
 
 def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
