@@ -5,7 +5,8 @@ only those newer than a persisted per-media mark. Here the whole run is one
 DataFrame plan over a source frame of events for all media at once:
 
     source  ⋈ (configured media ⟕ state)            (P13 allow-list, J5 mark lookup)
-            σ ts >= day(mark)                       (P12 coarse fetch, "start_date")
+            σ ts >= day(mark)                       (P12 coarse fetch, "start_date":
+                                                     a partition filter on a dated source)
             σ received_at non-blank ∧ ts > mark     (P10, P11 strict; optional lookback)
 
 plus one aggregation per media for the manifest counters and the new mark
@@ -33,10 +34,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelstar import schemas
 from reelstar.functions import columns as fn
+from reelstar.sources.event_source import DatedSource
 
 MARK = "__mark"
 TS = "__ts"
@@ -52,6 +55,18 @@ def restrict_to_media(events: DataFrame, media: DataFrame | list[str]) -> DataFr
     return events.join(media.select("media_id").distinct(), "media_id", "left_semi")
 
 
+def run_header(manifest: DataFrame, *, run_id: str, run_date: str, started_at: str, finished_at: str, status: str = "success", error: str | None = None) -> DataFrame:
+    """K5: the run as one record: start, finish, status and the totals of its media rows.
+
+    The run's media are its media rows, one each, so the header does not grow with them.
+    """
+    totals = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("pages_fetched", "events_fetched", "events_saved", "events_rejected")]
+    one = manifest.agg(F.count(F.lit(1)).alias("media_count"), *totals)
+    fixed = {"run_id": run_id, "run_date": run_date, "started_at_utc": started_at, "finished_at_utc": finished_at, "status": status, "error": error}
+    given = {c: F.lit(v).cast("string").alias(c) for c, v in fixed.items()}
+    return one.select(*[given.get(c, F.col(c)) for c in schemas.RUN_HEADER.names])
+
+
 @dataclass
 class LandingPlan:
     fetched: DataFrame  # events the source returns under the coarse date filter
@@ -60,8 +75,27 @@ class LandingPlan:
     new_state: DataFrame  # checkpoint after the run (schemas.STATE)
 
 
+def universe_of(source: DataFrame | DatedSource, media: DataFrame | list[str] | None) -> DataFrame:
+    """One row a media of the run; a null media is a media."""
+    if isinstance(media, list):
+        return source_session(source).createDataFrame([(m,) for m in media], "media_id string").distinct()
+    if media is None:
+        media = source.read() if isinstance(source, DatedSource) else source
+    return media.select("media_id").distinct()
+
+
+def source_session(source: DataFrame | DatedSource) -> SparkSession:
+    return source.spark if isinstance(source, DatedSource) else source.sparkSession
+
+
+def carried_marks(state: DataFrame, media: DataFrame) -> DataFrame:
+    """Marks of the media that are not among ``media`` (null-safe: a null media is one)."""
+    run = media.select(F.col("media_id").alias(KNOWN)).distinct()
+    return state.select("media_id", "last_received_at").join(run, F.col("media_id").eqNullSafe(F.col(KNOWN)), "left_anti")
+
+
 def plan_landing(
-    source_events: DataFrame,
+    source_events: DataFrame | DatedSource,
     state: DataFrame,
     media: DataFrame | list[str] | None = None,
     *,
@@ -73,16 +107,10 @@ def plan_landing(
     payload_cols = source_events.columns
     # One small frame of media with their marks, so that the events meet one
     # join: it is allow-list and mark lookup at once.
-    if media is None:
-        universe = source_events.select("media_id").distinct()
-    elif isinstance(media, list):
-        universe = source_events.sparkSession.createDataFrame([(m,) for m in media], "media_id string").distinct()
-    else:
-        universe = media.select("media_id").distinct()
-    marks = state.select("media_id", F.col("last_received_at").alias(MARK))
-    known = universe.join(marks, "media_id", "left").withColumnRenamed("media_id", KNOWN)
-    ev = source_events.join(known, F.col("media_id").eqNullSafe(F.col(KNOWN))).drop(KNOWN)
-    ev = ev.withColumn(TS, fn.parse_ts("received_at")).withColumn(MARK_TS, fn.parse_ts(MARK))
+    universe = universe_of(source_events, media)
+    marks = state.select(F.col("media_id").alias("__of"), F.col("last_received_at").alias(MARK))
+    known = universe.withColumnRenamed("media_id", KNOWN)
+    known = known.join(marks, F.col(KNOWN).eqNullSafe(F.col("__of")), "left").drop("__of").withColumn(MARK_TS, fn.parse_ts(MARK))
 
     # A mark that does not parse counts as no mark: the media reloads in full
     # (dedup removes the copies) instead of never landing again.
@@ -93,6 +121,11 @@ def plan_landing(
         cutoff = cutoff - F.make_interval(secs=F.lit(lookback_seconds))
         # a lookback reaching into an earlier day must fetch from that day
         fetch_from = F.least(fetch_from, fn.day_start(cutoff))
+    if isinstance(source_events, DatedSource):
+        ev = source_events.fetch(known, F.col(KNOWN), F.when(has_mark, fetch_from))
+    else:
+        ev = source_events.join(known, F.col("media_id").eqNullSafe(F.col(KNOWN)))
+    ev = ev.drop(KNOWN).withColumn(TS, fn.parse_ts("received_at"))
     # The source filters by calendar day only; records without a usable time
     # cannot be filtered by it and come back.
     fetched = ev.where(~has_mark | F.col(TS).isNull() | (F.col(TS) >= fetch_from))
@@ -131,6 +164,5 @@ def plan_landing(
     advanced = manifest.where(F.col("checkpoint_after").isNotNull()).select(
         "media_id", F.col("checkpoint_after").alias("last_received_at")
     )
-    carried = state.select("media_id", "last_received_at").join(universe, "media_id", "left_anti")
-    new_state = advanced.unionByName(carried)
+    new_state = advanced.unionByName(carried_marks(state, universe))
     return LandingPlan(fetched.drop(SAVED), saved, manifest, new_state)

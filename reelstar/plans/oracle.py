@@ -41,7 +41,8 @@ ev_k AS (
   SELECT e.*, CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS k FROM events e),
 src_events AS (
   SELECT 'ev-' || CAST(x.event_id AS VARCHAR) AS event_key,
-         CASE WHEN x.value >= 150 THEN 'x' ELSE 'm' END || CAST(x.k AS VARCHAR) AS media_id,
+         CASE WHEN x.event_type = 'error' AND x.value >= 150 THEN NULL
+              ELSE CASE WHEN x.value >= 150 THEN 'x' ELSE 'm' END || CAST(x.k AS VARCHAR) END AS media_id,
          p.media_url,
          CASE WHEN x.event_type = 'error' THEN NULL ELSE 'u' || CAST(x.user_id AS VARCHAR) END AS visitor_key,
          strftime(x.ts, '{TS_FMT}') AS received_at,
@@ -55,11 +56,11 @@ src_events AS (
 src_ts AS (SELECT s.*, {_p('s.received_at')} AS __ts FROM src_events s),
 raw_events AS (
   SELECT * EXCLUDE (__ts),
-         'raw/run_date=2024-01-20/run_id=20240120T060000Z/events/media_id=' || media_id || '/page_001.json' AS _source_file
+         'raw/run_date=2024-01-20/run_id=20240120T060000Z/events/media_id=' || coalesce(media_id, '__HIVE_DEFAULT_PARTITION__') || '/page_001.json' AS _source_file
   FROM src_ts WHERE __ts < TIMESTAMP '2024-01-20 00:00:00'
   UNION ALL
   SELECT * EXCLUDE (__ts),
-         'raw/run_date=2024-01-31/run_id=20240131T060000Z/events/media_id=' || media_id || '/page_001.json' AS _source_file
+         'raw/run_date=2024-01-31/run_id=20240131T060000Z/events/media_id=' || coalesce(media_id, '__HIVE_DEFAULT_PARTITION__') || '/page_001.json' AS _source_file
   FROM src_ts WHERE __ts >= TIMESTAMP '2024-01-15 00:00:00'),
 raw_events_r AS (
   SELECT *, regexp_extract(_source_file, 'run_id=([^/]+)', 1) AS run_id,
@@ -145,8 +146,8 @@ fact AS (
 landing_state AS (
   SELECT 'm' || CAST(p_partkey AS VARCHAR) AS media_id, CASE p_type WHEN 'ECONOMY' THEN 'unknown' WHEN 'PROMO' THEN '2024-01-12T00:00:00.000Z'
               ELSE '2024-01-20T12:00:00.000Z' END AS last_received_at
-  FROM part),
-configured_media AS (SELECT 'm' || CAST(p_partkey AS VARCHAR) AS media_id FROM part)
+  FROM part UNION ALL SELECT NULL, '2024-01-12T00:00:00.000Z'),
+configured_media AS (SELECT 'm' || CAST(p_partkey AS VARCHAR) AS media_id FROM part UNION ALL SELECT NULL)
 """
 
 
@@ -159,8 +160,8 @@ def landing_ctes(lookback_seconds: int = 0) -> str:
 land_ev AS (
   SELECT s.*, st.last_received_at AS __mark,
          {_p('s.received_at')} AS __ts, {_p('st.last_received_at')} AS __mark_ts
-  FROM src_events s LEFT JOIN landing_state st ON s.media_id = st.media_id
-  WHERE s.media_id IN (SELECT media_id FROM configured_media)),
+  FROM src_events s LEFT JOIN landing_state st ON s.media_id IS NOT DISTINCT FROM st.media_id
+  WHERE EXISTS (SELECT 1 FROM configured_media c WHERE c.media_id IS NOT DISTINCT FROM s.media_id)),
 land_fetched AS (
   SELECT *, (received_at IS NOT NULL AND received_at <> '' AND __ts IS NOT NULL
              AND (__mark_ts IS NULL OR __ts > {cutoff})) AS __saved
@@ -186,13 +187,13 @@ run_manifest AS (
          CAST(COALESCE(a.events_rejected, 0) AS BIGINT) AS events_rejected,
          'success' AS status, CAST(NULL AS VARCHAR) AS error
   FROM (SELECT DISTINCT media_id FROM configured_media) c
-  LEFT JOIN landing_state st ON c.media_id = st.media_id
-  LEFT JOIN land_agg a ON c.media_id = a.media_id),
+  LEFT JOIN landing_state st ON c.media_id IS NOT DISTINCT FROM st.media_id
+  LEFT JOIN land_agg a ON c.media_id IS NOT DISTINCT FROM a.media_id),
 new_state AS (
   SELECT media_id, checkpoint_after AS last_received_at FROM run_manifest WHERE checkpoint_after IS NOT NULL
   UNION ALL
   SELECT s.media_id, s.last_received_at FROM landing_state s
-  WHERE NOT EXISTS (SELECT 1 FROM run_manifest m WHERE m.media_id = s.media_id))
+  WHERE NOT EXISTS (SELECT 1 FROM run_manifest m WHERE m.media_id IS NOT DISTINCT FROM s.media_id))
 """
 
 
@@ -229,7 +230,7 @@ ORACLE: dict[str, str] = {
     "scan_quarantine": _q(
         """, found AS (
              SELECT 'events' AS kind, run_id, COUNT(*) AS good,
-                    COUNT(DISTINCT media_id || '/' || CAST(CAST(substr(event_key, 4) AS BIGINT) // 5000 AS VARCHAR)) AS files
+                    COUNT(DISTINCT coalesce(media_id, '-') || '/' || CAST(CAST(substr(event_key, 4) AS BIGINT) // 5000 AS VARCHAR)) AS files
              FROM raw_events_r GROUP BY run_id
              UNION ALL
              SELECT 'media_metadata', run_id, COUNT(*), COUNT(DISTINCT CAST(substr(hashed_id, 2) AS BIGINT) // 5000) FROM meta_r GROUP BY run_id
@@ -245,7 +246,7 @@ ORACLE: dict[str, str] = {
                   regexp_extract(_source_file, 'run_id=([^/]+)', 1) AS run_id,
                   regexp_extract(_source_file, 'run_date=([^/]+)', 1) AS run_date
            FROM (SELECT 'events' AS kind, _source_file,
-                        regexp_extract(_source_file, 'media_id=([^/]+)', 1) AS media_id FROM raw_events
+                        nullif(regexp_extract(_source_file, 'media_id=([^/]+)', 1), '__HIVE_DEFAULT_PARTITION__') AS media_id FROM raw_events
                  UNION ALL
                  SELECT 'media_stats', _source_file,
                         regexp_extract(_source_file, '/media_stats/([^/]+)\\.json$', 1) FROM raw_stats)"""
@@ -309,7 +310,15 @@ ORACLE: dict[str, str] = {
     "incremental_pruned": _q("SELECT event_key, media_id, received_at FROM land_fetched", landing=0),
     "incremental_lookback": _q("SELECT event_key, media_id, received_at FROM land_fetched WHERE __saved", landing=3600),
     "checkpoint_advance": _q("SELECT * FROM new_state", landing=0),
-    "run_manifest": _q("SELECT * FROM run_manifest", landing=0),
+    "run_manifest": _q(
+        """SELECT *, 'media' AS record, CAST(NULL AS VARCHAR) AS started_at_utc, CAST(NULL AS VARCHAR) AS finished_at_utc,
+                  CAST(NULL AS BIGINT) AS media_count FROM run_manifest
+           UNION ALL
+           SELECT '20240201T060000Z', '2024-02-01', NULL, NULL, NULL, NULL, CAST(SUM(pages_fetched) AS BIGINT),
+                  CAST(SUM(events_fetched) AS BIGINT), CAST(SUM(events_saved) AS BIGINT), CAST(SUM(events_rejected) AS BIGINT),
+                  'success', NULL, 'run', '2024-02-01T06:00:00+00:00', '2024-02-01T06:04:30+00:00', COUNT(*) FROM run_manifest""",
+        landing=0,
+    ),
     "sql_row_counts": _q(
         """SELECT 'dim_media' AS table_name, COUNT(*) AS row_count FROM dim_media
            UNION ALL SELECT 'dim_visitor', COUNT(*) FROM dim_visitor

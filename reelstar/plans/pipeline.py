@@ -12,17 +12,19 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar import schemas
 from reelstar.functions import columns as fn
-from reelstar.operators.landing import plan_landing
+from reelstar.operators.landing import carried_marks, plan_landing, run_header, universe_of
 from reelstar.plans import star as st
 from reelstar.session import checkpoint_dir, remove_path
 from reelstar.sinks import curated as cur
 from reelstar.sinks import landing as land
+from reelstar.sources.event_source import DatedSource
 
 
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -82,9 +84,13 @@ def write_star(spark: SparkSession, star: st.Star, curated_root: str, *, db: str
     return {name: obs.get["rows"] for name, obs in observations.items()}
 
 
+def _now() -> str:
+    return datetime.now(timezone.utc).isoformat()
+
+
 def run_landing(
     spark: SparkSession,
-    source_events: DataFrame,
+    source_events: DataFrame | DatedSource,
     media: DataFrame | list[str] | None,
     state_root: str,
     raw_root: str,
@@ -97,29 +103,35 @@ def run_landing(
 ) -> DataFrame:
     """One landing run: data, then manifest, then the new checkpoint version.
 
-    Returns the manifest as written (read back from the run directory).
+    A :class:`DatedSource` is read from the first open day on. Returns the
+    manifest as written (read back from the run directory).
     """
     store = land.StateStore(spark, state_root)
     stage = f"{checkpoint_dir(spark).rstrip('/')}/reelstar-landing-{uuid.uuid4().hex}"
-    settings = {"run_id": run_id, "run_date": run_date, "lookback_seconds": lookback_seconds}
+    run = {"run_id": run_id, "run_date": run_date}
+    started = _now()
     try:
         # The source is read once: saved events, counters and marks all come
         # from the same staged rows, so no mark can pass an event that a second
         # reading of a growing source would have brought.
-        first = plan_landing(source_events, store.read(), media, **settings)
+        state = store.read()
+        first = plan_landing(source_events, state, media, lookback_seconds=lookback_seconds, **run)
         first.fetched.select(*source_events.columns).write.parquet(stage)
         fetched = spark.read.schema(source_events.schema).parquet(stage)
-        plan = plan_landing(fetched, store.read(), media, **settings)
+        universe = universe_of(source_events, media) if media is None else media
+        plan = plan_landing(fetched, state, universe, lookback_seconds=lookback_seconds, **run)
         if metadata is not None:
             land.land_metadata(metadata, raw_root, run_id, run_date)
         if stats is not None:
             land.land_stats(stats, raw_root, run_id, run_date)
         land.land_events(plan.saved, raw_root, run_id, run_date)
         land.land_manifest(plan.manifest, raw_root, run_id, run_date)
+        written = spark.read.schema(schemas.MANIFEST).json(f"{land.run_prefix(raw_root, run_id, run_date)}/run_manifest.json")
+        land.land_header(run_header(written, started_at=started, finished_at=_now(), **run), raw_root, run_id, run_date)
     except Exception as exc:
         # Failed run: record it (status + error per configured media) and keep
         # the previous checkpoint, so the next run re-lands what this one lost.
-        _write_failed_manifest(spark, media, source_events, raw_root, run_id, run_date, exc)
+        _write_failed_manifest(source_events, media, raw_root, run, started, exc)
         raise
     finally:
         remove_path(spark, stage)
@@ -129,27 +141,23 @@ def run_landing(
     advanced = manifest.where(F.col("checkpoint_after").isNotNull()).select(
         "media_id", F.col("checkpoint_after").alias("last_received_at")
     )
-    carried = store.read().join(manifest.select("media_id"), "media_id", "left_anti")
-    store.write(advanced.unionByName(carried), run_id)
+    store.write(advanced.unionByName(carried_marks(state, manifest)), run_id)
     return manifest
 
 
-def _write_failed_manifest(spark, media, source_events, raw_root, run_id, run_date, exc) -> None:
-    if media is None:
-        universe = source_events.select("media_id").distinct()
-    elif isinstance(media, list):
-        universe = spark.createDataFrame([(m,) for m in media], "media_id string")
-    else:
-        universe = media.select("media_id").distinct()
-    failed = universe.select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(run_date).alias("run_date"),
-        "media_id",
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.MANIFEST.fields[3:-2]],
-        F.lit("failed").alias("status"),
-        F.lit(f"{type(exc).__name__}: {exc}").alias("error"),
-    )
+def _write_failed_manifest(source_events, media, raw_root, run, started, exc) -> None:
+    error = f"{type(exc).__name__}: {exc}"
     try:
-        land.land_manifest(failed, raw_root, run_id, run_date)
+        failed = universe_of(source_events, media).select(
+            F.lit(run["run_id"]).alias("run_id"),
+            F.lit(run["run_date"]).alias("run_date"),
+            "media_id",
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.MANIFEST.fields[3:-2]],
+            F.lit("failed").alias("status"),
+            F.lit(error).alias("error"),
+        )
+        header = run_header(failed, started_at=started, finished_at=_now(), status="failed", error=error, **run)
+        land.land_manifest(failed, raw_root, run["run_id"], run["run_date"])
+        land.land_header(header, raw_root, run["run_id"], run["run_date"])
     except Exception:  # noqa: BLE001 - the original error is the one to raise
         pass

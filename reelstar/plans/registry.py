@@ -8,6 +8,7 @@ compare column by column with the SQL oracle (:mod:`reelstar.plans.oracle`).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,9 @@ from reelstar.operators import quality as dq
 from reelstar.operators.latest import dedup, first_n_per_key, latest_per_key
 from reelstar.plans import analytics as an
 from reelstar.plans import star as st
+from reelstar.session import checkpoint_dir
 from reelstar.sources import fixtures as fx
+from reelstar.sources.event_source import DatedSource
 from reelstar.sources.json_layout import CORRUPT, parsed, records_of_text, split_corrupt
 from reelstar.sources.raw import events_media_from_path, stats_media_id, with_path_media, with_run
 
@@ -30,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOOKBACK_SECONDS = 3600
 SAMPLE_PER_MEDIA = 5
 LANDING_RUN_ID, LANDING_RUN_DATE = "20240201T060000Z", "2024-02-01"
+LANDING_STARTED, LANDING_FINISHED = "2024-02-01T06:00:00+00:00", "2024-02-01T06:04:30+00:00"
 
 
 def _flat_events(df: DataFrame) -> DataFrame:
@@ -51,9 +55,15 @@ def _ntz_dim_media(df: DataFrame) -> DataFrame:
     return df.withColumn("created_at", fn.to_ntz("created_at")).withColumn("updated_at", fn.to_ntz("updated_at"))
 
 
-def _landing(spark: SparkSession, sf: str, lookback: int = 0) -> ld.LandingPlan:
+def _dated(spark: SparkSession, sf: str) -> DatedSource:
+    """The event source stored by day in the shared folder, as a deployment keeps it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/reelstar-source/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return DatedSource.write(fx.source_events(spark, sf), path)
+
+
+def _landing(spark: SparkSession, sf: str, lookback: int = 0, dated: bool = False) -> ld.LandingPlan:
     return ld.plan_landing(
-        fx.source_events(spark, sf),
+        _dated(spark, sf) if dated else fx.source_events(spark, sf),
         fx.landing_state(spark, sf),
         fx.configured_media(spark, sf),
         run_id=LANDING_RUN_ID,
@@ -262,7 +272,7 @@ def q_incremental_events(spark, sf):
 
 
 def q_incremental_pruned(spark, sf):
-    return _landing(spark, sf).fetched.select("event_key", "media_id", "received_at")
+    return _landing(spark, sf, dated=True).fetched.select("event_key", "media_id", "received_at")
 
 
 def q_incremental_lookback(spark, sf):
@@ -274,7 +284,10 @@ def q_checkpoint_advance(spark, sf):
 
 
 def q_run_manifest(spark, sf):
-    return _landing(spark, sf).manifest
+    manifest = _landing(spark, sf).manifest
+    header = ld.run_header(manifest, run_id=LANDING_RUN_ID, run_date=LANDING_RUN_DATE, started_at=LANDING_STARTED, finished_at=LANDING_FINISHED)
+    media = manifest.withColumn("record", F.lit("media"))
+    return media.unionByName(header.withColumn("record", F.lit("run")), allowMissingColumns=True)
 
 
 # ---- analytics -------------------------------------------------------------------------

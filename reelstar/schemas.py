@@ -80,6 +80,23 @@ MANIFEST = StructType(
     ]
 )
 
+# Run header, one row per run; the run's media are the rows of its manifest.
+RUN_HEADER = StructType(
+    [
+        _s("run_id"),
+        _s("run_date"),
+        _s("started_at_utc"),
+        _s("finished_at_utc"),
+        _s("media_count", LongType()),
+        _s("pages_fetched", LongType()),
+        _s("events_fetched", LongType()),
+        _s("events_saved", LongType()),
+        _s("events_rejected", LongType()),
+        _s("status"),
+        _s("error"),
+    ]
+)
+
 # Curated star schema.
 DIM_MEDIA = StructType(
     [

@@ -8,7 +8,8 @@ written once more as SQL CTEs in :mod:`reelstar.plans.oracle`.
 Rules (``k`` is the integer ``k`` of ``events.props``):
 
 * events: ``event_key='ev-'||event_id``, ``media_id='m'||k`` (``'x'||k``, a media
-  outside the catalog, from a ``value`` of 150 on), visitor key
+  outside the catalog, from a ``value`` of 150 on; null for ``error`` events of
+  such a value), visitor key
   ``'u'||user_id`` (null — an anonymous visitor — for ``error`` events), URL
   of page ``event_id % (max(page_id) + 1)``, received time as the ISO string of ``ts``,
   ``percent_viewed=least(value/100, 1)``, geography from the customer row
@@ -21,8 +22,9 @@ Rules (``k`` is the integer ``k`` of ``events.props``):
   the same ``updated`` in both runs, so the run order breaks the tie.
 * media stats from ``part``: every part in run 1, those with ``p_size >= 10``
   again in run 2.
-* marks before the landing run: every part has one; those of PROMO parts are
-  earlier, those of ECONOMY parts do not parse (such media land in full).
+* marks before the landing run: every part has one; those of PROMO parts and
+  of the null media are earlier, those of ECONOMY parts do not parse (such
+  media land in full).
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar.functions import columns as fn
+from reelstar.sources.raw import NULL_PARTITION
 
 # --- fixed values -----------------------------------------------------------
 RUN1_ID, RUN1_DATE = "20240120T060000Z", "2024-01-20"
@@ -126,7 +129,10 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     uid = F.col("user_id")
     return joined.select(
         F.concat(F.lit("ev-"), F.col("event_id").cast("string")).alias("event_key"),
-        F.concat(F.when(F.col("value") >= EXTERNAL_FROM, "x").otherwise("m"), F.col("k").cast("string")).alias("media_id"),
+        F.when(
+            ~((F.col("event_type") == "error") & (F.col("value") >= EXTERNAL_FROM)),
+            F.concat(F.when(F.col("value") >= EXTERNAL_FROM, "x").otherwise("m"), F.col("k").cast("string")),
+        ).alias("media_id"),
         F.col("media_url"),
         F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("u"), uid.cast("string")))
@@ -148,7 +154,7 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _events_path(run_date: str, run_id: str) -> F.Column:
     return F.concat(
         F.lit(f"raw/run_date={run_date}/run_id={run_id}/events/media_id="),
-        F.col("media_id"),
+        F.coalesce("media_id", F.lit(NULL_PARTITION)),
         F.lit("/page_001.json"),
     )
 
@@ -204,7 +210,7 @@ def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.substring("event_key", 4, 20).cast("long")
     landed = src.withColumn("run", F.explode(_run_of(F.col("received_at"))))
     page = F.concat(F.lit("/page_"), F.floor(number / FILE_IDS).cast("string"), F.lit(".json"))
-    return _texts(landed.withColumn("_source_file", _run_path(F.col("run"), F.lit("events/media_id="), F.col("media_id"), page)), src.columns)
+    return _texts(landed.withColumn("_source_file", _run_path(F.col("run"), F.lit("events/media_id="), F.coalesce("media_id", F.lit(NULL_PARTITION)), page)), src.columns)
 
 
 def metadata_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,14 +278,16 @@ def raw_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpoint before the landing run: a mark for every catalogued media."""
+    """Checkpoint before the landing run: a mark for every catalogued media and the null one."""
     mark = F.when(F.col("p_type") == "ECONOMY", BAD_MARK).when(F.col("p_type") == "PROMO", EARLY_MARK).otherwise(INCREMENTAL_MARK)
-    return _part(spark, sf_dir).select(
+    marks = _part(spark, sf_dir).select(
         F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("media_id"),
         mark.alias("last_received_at"),
     )
+    return marks.unionByName(spark.createDataFrame([(None, EARLY_MARK)], marks.schema))
 
 
 def configured_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The media the landing job is configured for: one per part."""
-    return _part(spark, sf_dir).select(F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("media_id"))
+    """The media the landing job is configured for: one per part, and events without a media."""
+    media = _part(spark, sf_dir).select(F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("media_id"))
+    return media.unionByName(spark.createDataFrame([(None,)], media.schema))

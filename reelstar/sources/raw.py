@@ -8,6 +8,7 @@ union of history, failed runs included)::
         media_metadata.json            (a file, or a directory of part files)
         media_stats/<id>.json          (or media_stats/media_id=<id>/<file>.json)
         run_manifest.json
+        run_header.json
 
 Partition discovery is deliberately *not* used: the plain ``events/`` level
 between the ``k=v`` levels makes Spark reject the tree once two runs exist,
@@ -35,6 +36,7 @@ EVENTS_GLOB = f"{ALL_RUNS}/events/media_id=*/*"
 METADATA_GLOB = f"{ALL_RUNS}/media_metadata.json"
 STATS_GLOB = f"{ALL_RUNS}/media_stats/*"
 MANIFEST_GLOB = f"{ALL_RUNS}/run_manifest.json"
+HEADER_GLOB = f"{ALL_RUNS}/run_header.json"
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: directory of a null partition key
 
@@ -139,6 +141,11 @@ def scan_manifests(spark: SparkSession, raw_root: str, *, allow_missing: bool =
     return read_json(spark, f"{raw_root.rstrip('/')}/{MANIFEST_GLOB}", schemas.MANIFEST, allow_missing=allow_missing)
 
 
+def scan_runs(spark: SparkSession, raw_root: str, *, allow_missing: bool = True) -> DataFrame:
+    """The header of every run: start, finish, status, totals."""
+    return read_json(spark, f"{raw_root.rstrip('/')}/{HEADER_GLOB}", schemas.RUN_HEADER, allow_missing=allow_missing)
+
+
 def read_curated(spark: SparkSession, curated_root: str, name: str) -> DataFrame:
     """A curated Parquet table (vectorised scan, filter/column pushdown)."""
     return spark.read.schema(schemas.CURATED[name]).parquet(f"{curated_root.rstrip('/')}/{name}")

@@ -15,7 +15,9 @@ from reelstar.plans import pipeline
 from reelstar.plans import star as st
 from reelstar.sinks import landing as land
 from reelstar.sources import fixtures as fx
+from reelstar.operators.landing import plan_landing
 from reelstar.sources import raw
+from reelstar.sources.event_source import DatedSource
 from reelstar.streaming import landing as stream
 
 SF = "/root/testdata/sf0.001"
@@ -320,6 +322,73 @@ def test_null_media_are_counted(spark, tmp_path):
     assert {r.media_id: (r.events_fetched, r.events_saved) for r in man.collect()} == {None: (1, 1), "m": (1, 1)}
 
 
+def _landed(spark, root):
+    return sorted((r.media_id or "-", r.event_key) for r in raw.scan_events(spark, str(root)).collect())
+
+
+def test_null_media_lands_once_and_state_stays_bounded(spark, tmp_path):
+    base = {f.name: None for f in schemas.RAW_EVENT.fields}
+    rows = [Row(**{**base, "event_key": k, "media_id": m, "received_at": f"2024-01-0{d}T00:00:00.000Z"}) for k, m, d in [("a", None, 2), ("b", "m", 2), ("c", None, 3)]]
+    src = spark.createDataFrame(rows, schemas.RAW_EVENT)
+    raw_root, state_root = str(tmp_path / "raw"), str(tmp_path / "state")
+    modes = []
+    for day in range(1, 8):
+        man = pipeline.run_landing(spark, src, None, state_root, raw_root, run_id=f"2024020{day}T000000Z", run_date=f"2024-02-0{day}")
+        modes.append({r.media_id: r.mode for r in man.collect()})
+    assert modes[0] == {None: "full", "m": "full"} and modes[1:] == [{None: "incremental", "m": "incremental"}] * 6
+    assert _landed(spark, raw_root) == [("-", "a"), ("-", "c"), ("m", "b")]
+    store = land.StateStore(spark, state_root)
+    assert sorted((r.media_id or "-", r.last_received_at[:10]) for r in store.read().collect()) == [("-", "2024-01-03"), ("m", "2024-01-02")]
+    assert len([p for p in os.listdir(state_root) if p.startswith("version=")]) == store.keep == 5
+    # media that a run does not hold keep their marks, the null one too
+    pipeline.run_landing(spark, src, ["m"], state_root, raw_root, run_id="20240209T000000Z", run_date="2024-02-09")
+    assert sorted(r.media_id or "-" for r in store.read().collect()) == ["-", "m"]
+    runs = raw.scan_runs(spark, raw_root).orderBy("run_id").collect()
+    assert [(r.media_count, r.events_saved, r.status) for r in runs] == [(2, 3, "success")] + [(2, 0, "success")] * 6 + [(1, 0, "success")]
+    assert all(r.started_at_utc <= r.finished_at_utc for r in runs)
+    assert raw.scan_manifests(spark, raw_root).count() == 15
+
+
+def test_failed_run_leaves_a_header_and_the_old_marks(spark, tmp_path):
+    base = {f.name: None for f in schemas.RAW_EVENT.fields}
+    src = spark.createDataFrame([Row(**{**base, "event_key": "a", "media_id": "m", "received_at": "2024-01-02T00:00:00.000Z"})], schemas.RAW_EVENT)
+    bad = src.withColumn("event_key", F.raise_error(F.lit("source is gone")))
+    for run_id, source in (("20240201T000000Z", src), ("20240202T000000Z", bad)):
+        try:
+            pipeline.run_landing(spark, source, ["m"], str(tmp_path / "state"), str(tmp_path / "raw"), run_id=run_id, run_date="2024-02-01")
+        except Exception:  # noqa: BLE001
+            assert run_id == "20240202T000000Z"
+    runs = {r.run_id: r for r in raw.scan_runs(spark, str(tmp_path / "raw")).collect()}
+    assert runs["20240201T000000Z"].status == "success" and runs["20240202T000000Z"].status == "failed" and "source is gone" in runs["20240202T000000Z"].error
+    assert land.StateStore(spark, str(tmp_path / "state")).latest() == "20240201T000000Z"
+
+
+def test_dated_source_reads_only_open_days(spark, tmp_path):
+    base = {f.name: None for f in schemas.RAW_EVENT.fields}
+    rows = [Row(**{**base, "event_key": f"{m}{d}", "media_id": m, "received_at": f"2024-01-{d:02d}T05:00:00.000Z"}) for m in ("a", "b", "new") for d in range(1, 11)]
+    rows += [Row(**{**base, "event_key": f"bad{m}", "media_id": m, "received_at": "soon"}) for m in ("a", "other")]
+    src = spark.createDataFrame(rows, schemas.RAW_EVENT)
+    source = DatedSource.write(src, str(tmp_path / "source"))
+    state = spark.createDataFrame([("a", "2024-01-08T05:00:00.000Z"), ("b", "2024-01-06T01:00:00.000Z")], schemas.STATE)
+
+    def both(media):
+        plans = [plan_landing(s, state, media, run_id="r", run_date="d") for s in (src, source)]
+        for name in ("fetched", "saved", "manifest", "new_state"):
+            one, two = (getattr(p, name) for p in plans)
+            assert sorted(map(str, one.select(*sorted(one.columns)).collect())) == sorted(map(str, two.select(*sorted(two.columns)).collect())), name
+        return plans[1].fetched
+
+    fetched = both(["a", "b"])
+    plan = fetched._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [((event_day" in plan and "2024-01-06" in plan
+    scan = source._stored().where("event_day >= date'2024-01-06' or event_day is null").select(F.col("_metadata.file_path").alias("f")).distinct().count()
+    assert scan == 6 < source._stored().select(F.col("_metadata.file_path").alias("f")).distinct().count() == 11
+    assert both(["a", "new"]).where("media_id = 'new'").count() == 10  # a media without a mark has all days
+    assert both(["new"]).count() == 10 and both(None).count() > 10
+    man = pipeline.run_landing(spark, source, None, str(tmp_path / "state"), str(tmp_path / "raw"), run_id="20240201T000000Z", run_date="2024-02-01")
+    assert man.agg(F.sum("events_saved")).first()[0] == 30
+
+
 def test_uncommitted_state_is_ignored(spark, tmp_path):
     store = land.StateStore(spark, str(tmp_path / "state"))
     store.write(spark.createDataFrame([("a", "1"), ("b", "1")], schemas.STATE), "20260101T000000Z")
