@@ -213,7 +213,7 @@ _RECORDS = """recs AS (
                   'visitor_key': visitor_key, 'received_at': received_at, 'percent_viewed': percent_viewed,
                   'ip': ip, 'country': country, 'region': region, 'city': city,
                   'user_agent_details': {'browser': browser, 'platform': platform, 'mobile': mobile}}) AS j
-  FROM src_events),
+  FROM src_events WHERE media_id IS NOT NULL),
 kv AS (SELECT j, unnest(json_keys(j)) AS field FROM recs)"""
 
 ORACLE: dict[str, str] = {
@@ -387,16 +387,33 @@ ORACLE: dict[str, str] = {
     ),
     "profile_fields": _q(
         f""", {_RECORDS}
-           SELECT field, {_JSON_TYPE} AS json_type, COUNT(*) AS records FROM kv GROUP BY 1, 2"""
+           SELECT field, {_JSON_TYPE} AS json_type, COUNT(*) AS records FROM kv GROUP BY 1, 2
+           UNION ALL SELECT '$', 'record', COUNT(*) FROM src_events
+           UNION ALL SELECT '$', 'object', COUNT(*) FROM recs
+           UNION ALL SELECT '$', 'rejected', COUNT(*) FROM src_events WHERE media_id IS NULL HAVING COUNT(*) > 0"""
     ),
     "profile_nested": _q(
-        f""", {_RECORDS},
-           tops AS (SELECT field AS parent, json_extract(j, '$."' || field || '"') AS v FROM kv
-                    WHERE json_type(j, '$."' || field || '"') = 'OBJECT'),
-           kids AS (SELECT parent, v AS j, unnest(json_keys(v)) AS field FROM tops)
-           SELECT parent, parent || '.' || field AS field, {_JSON_TYPE} AS json_type, COUNT(*) AS records,
-                  CAST(NULL AS BIGINT) AS min_array_length, CAST(NULL AS BIGINT) AS max_array_length
-           FROM kids GROUP BY 1, 2, 3"""
+        """, nested AS (
+             SELECT to_json({'user_agent_details': {'browser': browser, 'platform': platform, 'mobile': mobile},
+                             'context': {'page': {'url': media_url, 'place': {'country': country, 'city': city}}},
+                             'steps': list_transform(range(CAST(substr(event_key, 4) AS BIGINT) % 3), lambda i:
+                               {'played': true, 'mark': {'share': percent_viewed,
+                                'tags': CASE WHEN visitor_key IS NULL THEN []::VARCHAR[] ELSE [region, 'seen'] END}})}) AS j
+             FROM src_events WHERE media_id IS NOT NULL),
+           walked AS (
+             SELECT regexp_replace(substr(t.fullkey, 3), '\\[[0-9]+\\]', '[]', 'g') AS field,
+                    regexp_replace(substr(t.path, 3), '\\[[0-9]+\\]', '[]', 'g') AS parent, t.type, t.value, p.n
+             FROM nested, json_tree(nested.j) t
+             LEFT JOIN LATERAL (SELECT json_array_length(nested.j, t.path) AS n) p ON true)
+           SELECT parent, field,
+                  CASE type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string'
+                    WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END AS json_type,
+                  COUNT(*) AS records,
+                  CAST(MIN(CASE WHEN field LIKE '%[]' THEN n END) AS BIGINT) AS min_array_length,
+                  CAST(MAX(CASE WHEN field LIKE '%[]' THEN n END) AS BIGINT) AS max_array_length
+           FROM walked WHERE parent <> '' GROUP BY 1, 2, 3
+           UNION ALL
+           SELECT field, field || '[]', 'empty', COUNT(*), 0, 0 FROM walked WHERE type = 'ARRAY' AND json_array_length(value) = 0 GROUP BY 1"""
     ),
     "profile_snapshots": _q(
         f""", recs_m AS (

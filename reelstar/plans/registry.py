@@ -350,11 +350,11 @@ def q_dq_report(spark, sf):
 
 
 def q_profile_fields(spark, sf):
-    return pf.field_profile(spark, pf.records_as_json(fx.source_events(spark, sf)))
+    return pf.field_profile(spark, fx.profile_records(spark, sf), totals=True)
 
 
 def q_profile_nested(spark, sf):
-    return pf.nested_profile(spark, pf.records_as_json(fx.source_events(spark, sf)))
+    return pf.nested_profile(spark, fx.nested_records(spark, sf))
 
 
 def q_profile_snapshots(spark, sf):

@@ -230,6 +230,27 @@ def stats_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(cut)
 
 
+def profile_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source event as a JSON text; those without a media are cut off in it."""
+    src = source_events(spark, sf_dir)
+    text = _as_json(src, src.columns, False)
+    return src.select(F.when(F.col("media_id").isNull(), F.substring(text, 1, 30)).otherwise(text).alias("json"))
+
+
+def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records with a context three levels deep and a list of none to two steps, each with tags."""
+    src = source_events(spark, sf_dir)
+    place = F.struct("country", "city")
+    page = F.struct(F.col("media_url").alias("url"), place.alias("place"))
+    tags = F.when(F.col("visitor_key").isNull(), F.array().cast("array<string>")).otherwise(F.array(F.col("region"), F.lit("seen")))
+    mark = F.struct(F.col("percent_viewed").alias("share"), tags.alias("tags"))
+    n = F.substring("event_key", 4, 20).cast("long") % 3
+    step = F.struct(F.lit(True).alias("played"), mark.alias("mark"))
+    full = src.select("*", F.struct(page.alias("page")).alias("context"), F.array_repeat(step, n.cast("int")).alias("steps"))
+    cut = F.when(F.col("media_id").isNull(), F.lit(30)).otherwise(F.lit(10_000_000))
+    return full.select(F.substr(_as_json(full, full.columns, False), F.lit(1), cut).alias("json"))
+
+
 def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
 

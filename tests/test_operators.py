@@ -301,3 +301,43 @@ def test_profile_skips_malformed_records(spark):
     assert got == [("a", "number", 1), ("a", "string", 1), ("b", "object", 1)]
     nested = [(r.field, r.json_type) for r in pf.nested_profile(spark, recs).collect()]
     assert nested == [("b.c", "boolean")]
+
+
+def test_profile_walks_every_depth(spark):
+    from reelstar.operators import profile as pf
+
+    recs = spark.createDataFrame(
+        [
+            ('{"a": {"b": {"c": {"d": 1}}}, "l": [{"x": 1, "y": [true, null]}, {"x": "s"}, 7]}',),
+            ('{"a": {"b": null}, "l": [], "m": [[1, 2], []]}',),
+            ('[{"a": {"b": 2}}]',),
+            ("{cut",),
+            (None,),
+            ("3",),
+        ],
+        "json string",
+    )
+    got = {(r.parent, r.field, r.json_type): (r.records, r.min_array_length, r.max_array_length) for r in pf.nested_profile(spark, recs).collect()}
+    assert got == {
+        ("a", "a.b", "object"): (1, None, None),
+        ("a", "a.b", "null"): (1, None, None),
+        ("a.b", "a.b.c", "object"): (1, None, None),
+        ("a.b.c", "a.b.c.d", "number"): (1, None, None),
+        ("l", "l[]", "object"): (2, 3, 3),
+        ("l", "l[]", "number"): (1, 3, 3),
+        ("l", "l[]", "empty"): (1, 0, 0),
+        ("l[]", "l[].x", "number"): (1, None, None),
+        ("l[]", "l[].x", "string"): (1, None, None),
+        ("l[]", "l[].y", "array"): (1, None, None),
+        ("l[].y", "l[].y[]", "boolean"): (1, 2, 2),
+        ("l[].y", "l[].y[]", "null"): (1, 2, 2),
+        ("m", "m[]", "array"): (2, 2, 2),
+        ("m[]", "m[][]", "number"): (2, 2, 2),
+        ("m[]", "m[][]", "empty"): (1, 0, 0),
+        ("$[]", "$[].a", "object"): (1, None, None),
+        ("$[].a", "$[].a.b", "number"): (1, None, None),
+    }
+    totals = {(r.field, r.json_type): r.records for r in pf.field_profile(spark, recs, totals=True).collect()}
+    assert {k: v for k, v in totals.items() if k[0] == "$"} == {("$", "record"): 6, ("$", "object"): 2, ("$", "array"): 1, ("$", "number"): 1, ("$", "rejected"): 2}
+    assert totals[("a", "object")] == 2 and totals[("m", "array")] == 1
+    assert pf.nested_profile(spark, recs.limit(0)).count() == 0 and pf.field_profile(spark, recs.limit(0), totals=True).count() == 0
