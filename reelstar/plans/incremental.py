@@ -5,8 +5,8 @@ re-deduplicating all history every run.
 Per run (``new_raw_events`` = only the newly landed runs):
 
 1. affected dates = dates of the new events ∪ dates of stored copies of the
-   same event keys (a null-safe semi-join that reads only ``event_key`` and
-   the ``date`` partition column of the store);
+   same event keys, looked up in a key index bucketed by key
+   (:mod:`reelstar.sinks.key_index`), so the stored keys are not shuffled;
 2. merged = dedup(stored rows of the affected dates ∪ new events). That is
    the same total order as the full transform, so a redelivered copy that
    wins moves its row, and one that loses changes nothing;
@@ -39,6 +39,7 @@ from reelstar.plans import star as st
 from reelstar.plans.pipeline import write_star
 from reelstar.session import checkpoint_dir, remove_path
 from reelstar.sinks import curated as cur
+from reelstar.sinks.key_index import DAY, KEY, KeyIndex, key_of
 
 DATE = "date"
 STORE_SCHEMA = StructType(
@@ -101,19 +102,23 @@ def _merge(spark: SparkSession, new_raw_events: DataFrame, store_path: str, stag
     new = spark.read.schema(STORE_SCHEMA).parquet(f"{stage}/new")
 
     existing = read_store(spark, store_path)
+    index = KeyIndex(spark, f"{store_path.rstrip('/')}_keys")
+    if existing is not None and not index.exists():  # a store from before there was an index
+        index.add(existing.select(key_of("event_key").alias(KEY), F.col(DATE).alias(DAY)))
     affected: list | None = None
+    keys = new.select(key_of("event_key").alias(KEY), F.col(DATE).alias(DAY))
     if existing is None:
         merged = _with_date(st.dedup_events(new.drop(DATE)))
     else:
-        keys = new.select("event_key").distinct()
-        hit = existing.select("event_key", DATE).join(keys, existing["event_key"].eqNullSafe(keys["event_key"]), "left_semi")
         # One row per calendar day touched: a small list, used as a static
         # partition filter so only those days of the store are read.
-        affected = [r[DATE] for r in new.select(DATE).union(hit.select(DATE)).distinct().collect()]
+        days = keys.select(DAY).union(index.known(keys).select(DAY)).distinct()
+        affected = [r[DAY] for r in days.collect()]
         old = existing.where(_in_dates(affected))
         # Same columns (same order) as the full transform's dedup, so even the
         # last-resort row-hash tiebreak picks the same survivor.
         merged = _with_date(st.dedup_events(old.unionByName(new).drop(DATE)))
+    index.add(keys)  # before the events: see the index
     merged.select(*cols).write.parquet(f"{stage}/merged")
     staged = spark.read.schema(STORE_SCHEMA).parquet(f"{stage}/merged")
 

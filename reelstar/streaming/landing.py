@@ -9,7 +9,10 @@ These differ from the batch landing on purpose:
   watermark horizon (bounded state), whereas ``dropDuplicates`` without a
   watermark is exact but keeps every key forever. Copies that arrive further
   apart than the horizon are removed by the batch transform's dedup, which
-  re-reads all history.
+  re-reads all history, or at once with ``key_index``: each micro-batch is
+  held against a key index on the shared store instead of a state in memory,
+  so the stream keeps no state, its output is exact, and a first delivery that
+  comes late is not dropped either.
 
 ``trigger(availableNow=True)`` processes what is there and stops, which is
 the scheduled-job shape of the reference, with exactly-once file tracking.
@@ -23,6 +26,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reelstar import schemas
 from reelstar.functions import columns as fn
+from reelstar.operators.latest import dedup
+from reelstar.sinks.key_index import DAY, KEY, KeyIndex, key_of
 from reelstar.sources.json_layout import scan_stream, split_corrupt
 from reelstar.sources.raw import EVENTS_GLOB, with_path_media, with_run
 
@@ -56,18 +61,30 @@ def start_landing_stream(
     *,
     watermark: str | None = "2 days",
     available_now: bool = True,
+    key_index: str | None = None,
 ) -> StreamingQuery:
     """Stream landed events into a Parquet event table (append, exactly-once).
 
     ``foreachBatch`` writes each micro-batch with ordinary batch writers into
     its own ``batch_id=N`` directory in overwrite mode, so a batch replayed
     after a failure replaces its earlier partial output instead of doubling it.
+
+    With ``key_index`` (a path) no copy is written however late it comes, and
+    ``watermark`` has no part: a batch leaves out its own copies and the keys
+    that other batches brought. A replayed batch does not count its own earlier keys, so
+    it writes the same rows again. Records without a key are one key.
     """
     events = read_event_stream(spark, raw_root)
-    if watermark:
+    if watermark and not key_index:
         events = dedup_stream(events, watermark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if key_index:
+            index, origin = KeyIndex(batch.sparkSession, key_index), str(batch_id)
+            keyed = dedup(batch, "event_key", [F.col(EVENT_TIME).desc_nulls_last()]).withColumn(KEY, key_of("event_key"))
+            batch = index.unknown(keyed, other_than=origin)
+            index.add(keyed.select(KEY, F.to_date(EVENT_TIME).alias(DAY)), origin)
+            batch = batch.select(*events.columns)
         batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     writer = events.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from reelstar.plans import pipeline
 from reelstar.plans import star as st
 from reelstar.sources import fixtures as fx
 from reelstar.sources import raw
+from reelstar.sinks import landing as land
+from reelstar.sinks.key_index import DAY, KEY, KeyIndex
+from reelstar.streaming import landing as stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -73,3 +77,55 @@ def test_redelivered_copy_moves_its_day(spark, tmp_path):
     # the same answer as one full dedup over both runs
     full = {r.event_key: r.media_url for r in st.dedup_events(first.unionByName(second)).collect()}
     assert full == {"k": "new", "j": "j"}
+
+
+def test_key_lookup_does_not_move_the_stored_keys(spark, tmp_path):
+    index = KeyIndex(spark, str(tmp_path / "keys"), buckets=4)
+    day = F.lit("2024-01-01").cast("date")
+    index.add(spark.range(2000).select(F.concat(F.lit("=k"), F.col("id").cast("string")).alias(KEY), day.alias(DAY)))
+    index.add(spark.range(1000, 3000).select(F.concat(F.lit("=k"), F.col("id").cast("string")).alias(KEY), day.alias(DAY)))
+    assert index.table().count() == 3000  # a pair is added once
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = spark.range(2990, 3010).select(F.concat(F.lit("=k"), F.col("id").cast("string")).alias(KEY))
+        found = index.known(keys)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        stored = plan[plan.index("SortMergeJoin") : plan.index("FileScan")]  # from the join down to the stored keys
+        assert "SelectedBucketsCount: 4 out of 4" in plan and "Exchange" not in stored, plan
+        assert found.count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # another session knows the index by its path alone, with the buckets it was made with
+    spark.sql(f"DROP TABLE {index.name}")
+    assert KeyIndex(spark, str(tmp_path / "keys"), buckets=9).table().count() == 3000
+
+
+def test_a_store_without_an_index_gets_one(spark, tmp_path):
+    ev = fx.raw_events(spark, SF)
+    inc.merge_new_events(spark, ev.where(F.col("_source_file").contains(fx.RUN1_ID)), str(tmp_path / "first"))
+    store = str(tmp_path / "store")
+    shutil.copytree(tmp_path / "first", store)  # the events alone
+    inc.merge_new_events(spark, ev.where(F.col("_source_file").contains(fx.RUN2_ID)), store)
+    assert inc.read_store(spark, store).count() == st.dedup_events(ev).count() == 1000
+
+
+def test_stream_with_a_key_index_is_exact_however_late(spark, tmp_path):
+    raw_root, out, ckpt, keys = (str(tmp_path / n) for n in ("raw", "out", "ckpt", "keys"))
+    base = {f.name: None for f in schemas.RAW_EVENT.fields}
+
+    def deliver(run, *records):
+        rows = [Row(**{**base, "event_key": k, "media_id": "m", "received_at": f"2026-01-{d:02d}T00:00:00.000Z"}) for k, d in records]
+        land.land_events(spark.createDataFrame(rows, schemas.RAW_EVENT), raw_root, f"202602{run:02d}T000000Z", f"2026-02-{run:02d}")
+        stream.start_landing_stream(spark, raw_root, out, ckpt, key_index=keys).awaitTermination()
+        return sorted(r.event_key or "-" for r in spark.read.parquet(out).collect())
+
+    assert deliver(1, ("a", 1), ("a", 1), ("b", 2), (None, 2)) == ["-", "a", "b"]
+    assert deliver(2, ("c", 20)) == ["-", "a", "b", "c"]
+    assert deliver(3, ("a", 1), ("b", 12), (None, 1)) == ["-", "a", "b", "c"]  # copies, up to 19 days late
+    assert deliver(4, ("late", 3)) == ["-", "a", "b", "c", "late"]  # a first delivery, 17 days late
+    # a replay of a batch writes the same rows: its own keys do not count against it
+    index = KeyIndex(spark, keys)
+    rows = spark.createDataFrame([("=a",), ("=late",), ("=x",)], f"{KEY} string")
+    assert sorted(r[0] for r in index.unknown(rows, other_than="3").collect()) == ["=late", "=x"]
+    assert sorted(r[0] for r in index.unknown(rows, other_than="9").collect()) == ["=x"]
