@@ -1,9 +1,10 @@
 """Benchmark: headline queries on $BENCH_SF_DIR with local[$BENCH_CPUS].
 
 Each query is executed fully through the ``noop`` sink (no rows are
-collected to the driver). The full transform (dedup staged once, three
-curated tables written as Parquet) is timed as ``transform``, which is what
-the reference's one published run time (81 s) measures. Prints one JSON line.
+collected to the driver). The full transform (landed JSON events and metadata of two runs
+in, statistics from the adapter (its files would be one per part), dedup staged once, three curated tables written as Parquet) is timed as
+``transform``, which is what the reference's one published run time (81 s)
+measures; landing the files is not timed. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -45,6 +46,18 @@ CURATED_SQL = [
 DB = "reelstar_bench"
 
 
+def landed(spark, sf_dir: str, root: str) -> str:
+    """The adapter's events and metadata of both runs as landed files: JSON lines, a directory per media."""
+    from reelstar.sinks import landing
+    from reelstar.sources import fixtures as fx
+
+    frames = (fx.raw_events(spark, sf_dir), landing.land_events), (fx.raw_metadata(spark, sf_dir), landing.land_metadata)
+    for run_id, run_date in ((fx.RUN1_ID, fx.RUN1_DATE), (fx.RUN2_ID, fx.RUN2_DATE)):
+        for frame, land in frames:
+            land(frame.where(frame["_source_file"].contains(run_id)).drop("_source_file"), root, run_id, run_date)
+    return root
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -52,6 +65,7 @@ def main() -> None:
     from reelstar.plans.registry import QUERIES
     from reelstar.session import build_session
     from reelstar.sources import fixtures as fx
+    from reelstar.sources import raw
 
     spark = build_session(
         f"local[{cpus}]",
@@ -68,10 +82,11 @@ def main() -> None:
     # (different files, same code paths): not timed.
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
     if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
+        warm = landed(spark, warm_dir, os.path.join(scratch, "warm_raw"))
         pipeline.run_transform(
             spark,
-            fx.raw_events(spark, warm_dir),
-            fx.raw_metadata(spark, warm_dir),
+            raw.scan_events(spark, warm),
+            raw.scan_metadata(spark, warm),
             fx.raw_stats(spark, warm_dir),
             os.path.join(scratch, "warm"),
             channel_rules=fx.channel_rules(),
@@ -80,11 +95,12 @@ def main() -> None:
             QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    raw_root = landed(spark, sf_dir, os.path.join(scratch, "raw"))
     t0 = time.perf_counter()
     counts = pipeline.run_transform(
         spark,
-        fx.raw_events(spark, sf_dir),
-        fx.raw_metadata(spark, sf_dir),
+        raw.scan_events(spark, raw_root),
+        raw.scan_metadata(spark, raw_root),
         fx.raw_stats(spark, sf_dir),
         os.path.join(scratch, "curated"),
         channel_rules=fx.channel_rules(),

@@ -56,15 +56,36 @@ def run_transform(
             remove_path(spark, stage)
 
 
-def _transform(spark, raw_events, raw_metadata, raw_stats, curated_root, channel_rules, stage, db) -> dict[str, int]:
+def stage_events(spark: SparkSession, raw_events: DataFrame, stage: str) -> tuple[DataFrame, dict[str, int]]:
+    """Deduplicated events, written once, and the rows before and after as observed while writing."""
     raw_obs_df, raw_obs = _counted(raw_events, "raw_events")
     deduped, uniq_obs = _counted(st.dedup_events(raw_obs_df), "unique_events")
     deduped.write.mode("overwrite").parquet(f"{stage}/events")
-    events = spark.read.parquet(f"{stage}/events")
+    events = spark.read.schema(deduped.schema).parquet(f"{stage}/events")
+    return events, {"raw_events": raw_obs.get["rows"], "unique_events": uniq_obs.get["rows"]}
+
+
+def staged_star(
+    spark: SparkSession,
+    raw_events: DataFrame,
+    raw_metadata: DataFrame,
+    raw_stats: DataFrame,
+    channel_rules: Sequence[tuple[str, str]] = fn.DEFAULT_CHANNEL_RULES,
+) -> tuple[st.Star, dict[str, int]]:
+    """The star over events staged once, for reports that read several of its tables.
+
+    The stage lies in the application's folder of the shared checkpoint
+    directory, as the returned frames are read later.
+    """
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/reelstar-star/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    events, counts = stage_events(spark, raw_events, stage)
+    return st.build_star(None, raw_metadata, raw_stats, channel_rules, events=events), counts
+
 
-    star = st.build_star(raw_events, raw_metadata, raw_stats, channel_rules, events=events)
-    counts = write_star(spark, star, curated_root, db=db)
-    return {"raw_events": raw_obs.get["rows"], "unique_events": uniq_obs.get["rows"], **counts}
+def _transform(spark, raw_events, raw_metadata, raw_stats, curated_root, channel_rules, stage, db) -> dict[str, int]:
+    events, seen = stage_events(spark, raw_events, stage)
+    star = st.build_star(None, raw_metadata, raw_stats, channel_rules, events=events)
+    return {**seen, **write_star(spark, star, curated_root, db=db)}
 
 
 def write_star(spark: SparkSession, star: st.Star, curated_root: str, *, db: str | None = None) -> dict[str, int]:

@@ -21,6 +21,7 @@ from reelstar.operators import profile as pf
 from reelstar.operators import quality as dq
 from reelstar.operators.latest import dedup, first_n_per_key, latest_per_key
 from reelstar.plans import analytics as an
+from reelstar.plans import pipeline
 from reelstar.plans import star as st
 from reelstar.session import checkpoint_dir
 from reelstar.sources import fixtures as fx
@@ -51,6 +52,11 @@ def _star(spark: SparkSession, sf: str) -> st.Star:
     return st.build_star(fx.raw_events(spark, sf), fx.raw_metadata(spark, sf), fx.raw_stats(spark, sf), fx.channel_rules())
 
 
+def _staged_star(spark: SparkSession, sf: str) -> tuple[st.Star, dict[str, int]]:
+    """For reports on several tables: the events are scanned and deduplicated once."""
+    return pipeline.staged_star(spark, fx.raw_events(spark, sf), fx.raw_metadata(spark, sf), fx.raw_stats(spark, sf), fx.channel_rules())
+
+
 def _ntz_dim_media(df: DataFrame) -> DataFrame:
     return df.withColumn("created_at", fn.to_ntz("created_at")).withColumn("updated_at", fn.to_ntz("updated_at"))
 
@@ -202,13 +208,11 @@ def q_fact_engagement(spark, sf):
 
 
 def q_stage_counts(spark, sf):
-    raw = fx.raw_events(spark, sf)
-    s = _star(spark, sf)
-    stages = [("raw_events", raw), ("unique_events", s.events), ("dim_media", s.dim_media), ("dim_visitor", s.dim_visitor), ("fact_media_engagement", s.fact)]
-    out = None
-    for name, df in stages:
-        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("stage"), "row_count")
-        out = one if out is None else out.unionByName(one)
+    """Rows of every stage: the first two observed while the dedup is staged, the tables counted from it."""
+    s, seen = _staged_star(spark, sf)
+    out = spark.createDataFrame(list(seen.items()), "stage string, row_count long")
+    for name, df in (("dim_media", s.dim_media), ("dim_visitor", s.dim_visitor), ("fact_media_engagement", s.fact)):
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("stage"), "row_count"))
     return out
 
 
@@ -294,12 +298,12 @@ def q_run_manifest(spark, sf):
 
 
 def q_sql_row_counts(spark, sf):
-    s = _star(spark, sf)
+    s, _ = _staged_star(spark, sf)
     return an.row_counts(s.dim_media, s.dim_visitor, s.fact)
 
 
 def q_sql_counts_one_row(spark, sf):
-    s = _star(spark, sf)
+    s, _ = _staged_star(spark, sf)
     return an.counts_one_row(s.dim_media, s.dim_visitor, s.fact)
 
 
@@ -337,12 +341,12 @@ def q_dq_percent_range(spark, sf):
 
 
 def q_dq_orphans(spark, sf):
-    s = _star(spark, sf)
+    s, _ = _staged_star(spark, sf)
     return dq.orphans(s.fact, s.dim_media, s.dim_visitor)
 
 
 def q_dq_report(spark, sf):
-    s = _star(spark, sf)
+    s, _ = _staged_star(spark, sf)
     return dq.quality_report(s.fact, s.dim_media, s.dim_visitor)
 
 
