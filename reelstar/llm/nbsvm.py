@@ -189,7 +189,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     n = known.count()
     limit = 1 << 30
     drawn = int(limit * min(1.0, fit_rows / n)) if n else 0
-    train = docs.where(~F.col("held_out")).join(known, "doc_id")
+    # One plan at every size: both sides shuffled, texts moved once.
+    train = docs.where(~F.col("held_out")).hint("merge").join(known.hint("merge"), "doc_id")
     train = train.select("text", "quality", F.pmod(F.xxhash64("doc_id"), F.lit(limit)).alias("draw"))
     found = staged(spark, train.mapInArrow(_learned(drawn), "place long, zero long, one long, places array<long>"), "quality-counts")
     sums = found.where("place >= -1").groupBy("place").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one"))
