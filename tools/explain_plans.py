@@ -1,4 +1,4 @@
-"""Write docs/PLANS.md: the executed (AQE-final) physical plans of key queries.
+"""Print the executed (AQE-final) physical plans of key queries.
 
 Usage: python tools/explain_plans.py [sf_dir]   (default /root/testdata/sf0.01)
 """
@@ -54,10 +54,7 @@ def main(argv):
         df.collect()  # executes this DataFrame's own plan, so AQE's final plan is shown
         plan = df._jdf.queryExecution().executedPlan().toString()
         parts.append(f"\n## `{name}`\n\n```\n{simplify(plan)}\n```\n")
-    path = os.path.join(os.path.dirname(HERE), "docs", "PLANS.md")
-    with open(path, "w") as fh:
-        fh.write("".join(parts))
-    print(path)
+    print("".join(parts))
 
 
 if __name__ == "__main__":
