@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RN = "__rn"
+SOURCE = "_source_file"
+RUN_ROOT = r"^.*/(?=run_date=)"  # of a landed file's path: what stands before its run
 
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
@@ -36,9 +38,11 @@ def row_tiebreak(df: DataFrame) -> Column:
     The hash skips nulls, so each column also gives a flag that says whether
     it is null: rows whose nulls stand in other columns do not tie. Rows that
     do tie are (up to hash collisions) identical, so whichever survives gives
-    the same output.
+    the same output. Of a source path only what stands from the run on counts,
+    so a tree that is moved as a whole keeps its survivors.
     """
-    parts = [x for c in df.columns for x in (F.col(c).isNull(), F.col(c))]
+    value = lambda c: F.regexp_replace(c, RUN_ROOT, "") if c == SOURCE else F.col(c)
+    parts = [x for c in df.columns for x in (F.col(c).isNull(), value(c))]
     return F.xxhash64(*parts).desc()
 
 

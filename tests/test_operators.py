@@ -341,3 +341,14 @@ def test_profile_walks_every_depth(spark):
     assert {k: v for k, v in totals.items() if k[0] == "$"} == {("$", "record"): 6, ("$", "object"): 2, ("$", "array"): 1, ("$", "number"): 1, ("$", "rejected"): 2}
     assert totals[("a", "object")] == 2 and totals[("m", "array")] == 1
     assert pf.nested_profile(spark, recs.limit(0)).count() == 0 and pf.field_profile(spark, recs.limit(0), totals=True).count() == 0
+
+
+def test_survivors_do_not_depend_on_where_the_tree_stands(spark):
+    from reelstar.operators.latest import dedup
+
+    rows = [(i % 20, f"v{i}", f"run_date=2024-01-0{1 + i % 3}/run_id=r{i % 7}/events/media_id=m/page_{i}.json") for i in range(200)]
+    kept = []
+    for root in ("file:/a/raw/", "s3://bucket/elsewhere/", ""):
+        frame = spark.createDataFrame([(k, v, root + p) for k, v, p in rows], "k int, v string, _source_file string")
+        kept.append(sorted((r.k, r.v) for r in dedup(frame, "k").collect()))
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 20

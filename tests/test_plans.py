@@ -93,3 +93,30 @@ def test_curated_fact_prunes_partitions_and_columns(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[.*date.*2024-01-10", formatted)  # only that day's directory is listed/read
     assert "ReadSchema: struct<media_id:string,total_watch_time:double>" in formatted  # 2 of 9 columns
     assert q.count() > 0
+
+
+def test_a_hot_media_is_split_in_the_fact_join(spark):
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        media = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("m"), (F.col("id") % 50).cast("string")))
+        events = spark.range(0, 60_000, numPartitions=16).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("event_key"), media.alias("media_id"), F.sha2(F.col("id").cast("string"), 512).alias("visitor_key"),
+            F.lit(0.5).alias("percent_viewed"), F.lit("2024-01-01T00:00:00.000Z").cast("timestamp").alias(st.TS),
+        )
+        one = spark.range(50).select(F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("m"), F.col("id").cast("string"))).alias("media_id"))
+        fact = st.build_fact(events, one.withColumn("duration", F.lit(10.0)), one.withColumn("play_rate", F.lit(0.5)))
+        assert len(fact.collect()) == 60_000
+        assert "skew=true" in plan_text(fact)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
