@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-
 from . import line_rules, merkle_log, ranked_search
 from .bottom_k import fingerprint_edits
 from .common import table
@@ -78,11 +76,7 @@ def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text", "clean_text")
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_pipeline.run(spark, sf_dir)
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_rp_forest, op2_pii_surrogates, op3_nbsvm_quality, op4_bottom_k_fingerprints, op5_token_files, op6_packing, op7_crf_language, op8_lexicon_bpe, op9_fuzzy_lines, op10_ngram_join, op11_ranked_search, op12_merkle_log, op13_line_rules, pipeline)
+    f.__name__: f for f in (op1_rp_forest, op2_pii_surrogates, op3_nbsvm_quality, op4_bottom_k_fingerprints, op5_token_files, op6_packing, op7_crf_language, op8_lexicon_bpe, op9_fuzzy_lines, op10_ngram_join, op11_ranked_search, op12_merkle_log, op13_line_rules)
 }
 ORACLE: dict[str, str] = {"op11_ranked_search": ranked_search.SQL, "op12_merkle_log": merkle_log.SQL, "op13_line_rules": line_rules.SQL}
