@@ -22,8 +22,9 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar import schemas
@@ -59,20 +60,17 @@ def cmd_transform(spark: SparkSession, a: argparse.Namespace) -> int:
         "media_metadata": raw.scan_metadata(spark, a.raw, allow_missing=True, keep_corrupt=True),
         "media_stats": raw.scan_stats(spark, a.raw, allow_missing=True, keep_corrupt=True),
     }
-    good, set_aside = {}, None
-    for kind, found in scans.items():
-        good[kind], corrupt = raw.split_corrupt(found)
-        corrupt = corrupt.select(F.lit(kind).alias("kind"), "*")
-        set_aside = corrupt if set_aside is None else set_aside.unionByName(corrupt)
-    # Malformed records of all kinds, counted and (with --quarantine) written in one job.
     if a.quarantine:
-        set_aside.write.mode("overwrite").json(a.quarantine)
-        set_aside = spark.read.schema(set_aside.schema).json(a.quarantine)
-    malformed = {r["kind"]: r["n"] for r in set_aside.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+        aside = [raw.split_corrupt(found)[1].select(F.lit(kind).alias("kind"), "*") for kind, found in scans.items()]
+        reduce(DataFrame.unionByName, aside).write.mode("overwrite").json(a.quarantine)
+    # Counted while the transform reads them, not by a pass of their own.
+    watched = {kind: raw.counted(found, kind) for kind, found in scans.items()}
+    good = {kind: raw.split_corrupt(found)[0] for kind, (found, _) in watched.items()}
     build = incremental.run_incremental_transform if a.incremental else pipeline.run_transform
     counts = build(
         spark, good["events"], good["media_metadata"], good["media_stats"], a.curated, channel_rules=_rules(a.channel_rule), db=a.db
     )
+    malformed = {kind: n for kind, (_, totals) in watched.items() if (n := totals.get["malformed"])}
     name = "quarantined_records" if a.quarantine else "malformed_records"
     counts[name] = sum(malformed.values())
     counts[f"{name}_by_kind"] = malformed
