@@ -15,13 +15,13 @@ import pyarrow.compute as pc
 SLICE_BYTES = 12 << 20  # text handled at a time; one longer text is handled alone
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch of about SLICE_BYTES of text."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch of about ``size`` bytes of text."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends, start = np.cumsum(sizes, dtype=np.int64), 0
     while start < batch.num_rows:
         base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + SLICE_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, base + size, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
 

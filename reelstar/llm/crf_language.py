@@ -19,6 +19,8 @@ rows are each labelled, other columns ignored, ties go to the smaller name.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,7 +41,10 @@ RATE = 0.25
 PENALTY = 1e-4
 LETTERS = 24
 BINS = 4  # of the lexicon's strength
-_AREA = 400_000  # words of the texts that are run through the chain together
+_AREA = 600_000  # words of the texts that are run through the chain together
+_BLOCK = 4096  # distinct words whose features are held at a time
+_SLICE = 12 << 20  # bytes of text handled at a time
+_KEPT = 300_000  # words whose emissions a worker keeps; cleared beyond
 _RUNS = regex.compile(r"\p{L}+")
 _EXTRA = "held_out boolean, lang_pred string, score double, runs array<struct<lang:string,words:int>>"
 _RUN = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())]))
@@ -54,6 +59,8 @@ def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     for piece in pieces:
         piece = piece.lower()
         runs = [piece] if piece.isalpha() else _RUNS.findall(piece)
+        if len(piece) > LETTERS:
+            runs = [r[i : i + LETTERS] for r in runs for i in range(0, len(r), LETTERS)]
         found.append([index.setdefault(w, len(index)) for w in runs])
     sizes = np.array([len(x) for x in found], dtype=np.int64)
     flat = np.array([i for x in found for i in x], dtype=np.int64)
@@ -63,32 +70,61 @@ def _words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return list(index), words, np.diff(ends)
 
 
+def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The letters of words (of LETTERS at most), their last three, and their sizes."""
+    n = len(words)
+    letters = np.array(words, dtype=f"U{LETTERS}").reshape(n, 1).view(np.uint32).reshape(n, LETTERS)
+    ends = np.array([w[-3:].rjust(3, "\0") for w in words], dtype="U3").reshape(n, 1).view(np.uint32).reshape(n, 3)
+    return letters, ends, np.array([len(w) for w in words])
+
+
+def _hashed(kind: int, parts: list[np.ndarray], n: int) -> np.ndarray:
+    h = np.full(n, kind, dtype=np.uint64)
+    for p in parts:
+        h = (h ^ p) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(31)
+    return h
+
+
+def _whole(letters: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return _hashed(1, [letters[:, i] for i in range(LETTERS)] + [ends[:, i] for i in range(3)], len(letters))
+
+
+def _blocks(words: list[str]) -> Iterator[list[str]]:
+    for i in range(0, len(words), _BLOCK):
+        yield words[i : i + _BLOCK]
+
+
+def _lexicon(words: list[str]) -> np.ndarray:
+    """Lexicon place of each word."""
+    found = [(_whole(*_letters(block)[:2]) % np.uint64(LEXICON)).astype(np.int32) for block in _blocks(words)]
+    return np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
+
+
 def _places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Feature places of each word, one row a word (0: none), and its lexicon place."""
     n = len(words)
-    letters = np.array(words, dtype=f"U{LETTERS}").reshape(n, 1).view(np.uint32).reshape(n, LETTERS).astype(np.uint64)
-    ends = np.array([w[-3:].rjust(3, "\0") for w in words], dtype="U3").reshape(n, 1).view(np.uint32).reshape(n, 3).astype(np.uint64)
-    size = np.minimum(np.array([len(w) for w in words]), LETTERS)
-    columns = []
-
-    def add(kind: int, parts: list[np.ndarray], there: np.ndarray) -> np.ndarray:
-        h = np.full(n, kind, dtype=np.uint64)
-        for p in parts:
-            h = (h ^ p) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(31)
-        columns.append(np.where(there, (h % np.uint64(PLACES - 1)).astype(np.int64) + 1, 0))
-        return h
-
-    whole = add(1, [letters[:, i] for i in range(LETTERS)] + [ends[:, i] for i in range(3)], np.ones(n, dtype=bool))
-    for k in (1, 2, 3):
-        add(1 + k, [letters[:, i] for i in range(k)], size >= k)
-        add(4 + k, [ends[:, 3 - i] for i in range(1, k + 1)], size >= k)
+    letters, ends, size = _letters(words)
     longest = int(size.max()) if n else 0
-    for i in range(max(longest - 1, 0)):
-        add(8, [letters[:, i], letters[:, i + 1]], size >= i + 2)
+    pairs = max(longest - 1, 0)
+    out = np.zeros((n, 7 + pairs + max(longest - 2, 0)), dtype=np.int32)
+    column = 0
+
+    def add(h: np.ndarray, there: np.ndarray | bool = True) -> None:
+        nonlocal column
+        out[:, column] = np.where(there, (h % np.uint64(PLACES - 1)).astype(np.int32) + 1, 0)
+        column += 1
+
+    whole = _whole(letters, ends)
+    add(whole)
+    for k in (1, 2, 3):
+        add(_hashed(1 + k, [letters[:, i] for i in range(k)], n), size >= k)
+        add(_hashed(4 + k, [ends[:, 3 - i] for i in range(1, k + 1)], n), size >= k)
+    for i in range(pairs):
+        add(_hashed(8, [letters[:, i], letters[:, i + 1]], n), size >= i + 2)
         if i + 2 < longest:
-            add(9, [letters[:, i], letters[:, i + 1], letters[:, i + 2]], size >= i + 3)
-    return np.stack(columns, 1), (whole % np.uint64(LEXICON)).astype(np.int64)
+            add(_hashed(9, [letters[:, i], letters[:, i + 1], letters[:, i + 2]], n), size >= i + 3)
+    return out, (whole % np.uint64(LEXICON)).astype(np.int32)
 
 
 class Chain:
@@ -110,6 +146,24 @@ class Chain:
             out += self.weights[places[:, j]]
         return out
 
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """Emissions of each word; the features of one block of words are held at a time."""
+        out = np.zeros((len(words), len(self.langs)), dtype=np.float32)
+        for i, block in enumerate(_blocks(words)):
+            out[i * _BLOCK : i * _BLOCK + len(block)] = self.emissions(*_places(block))
+        return out
+
+    def kept(self, words: list[str]) -> np.ndarray:
+        """The same, with the emissions of earlier calls at hand."""
+        if not hasattr(self, "_index") or len(self._index) > _KEPT:
+            self._index, self._rows = {}, np.zeros((0, len(self.langs)), dtype=np.float32)
+        index = self._index
+        fresh = [w for w in words if w not in index]
+        if fresh:
+            index.update(zip(fresh, range(len(index), len(index) + len(fresh))))
+            self._rows = np.concatenate([self._rows, self.of_words(fresh)])
+        return self._rows[[index[w] for w in words]]
+
     def marginals(self, e: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Label probabilities of padded sequences, e[t, b] = log potentials, and expected transitions of each step's sum."""
         steps, rows, k = e.shape
@@ -164,7 +218,8 @@ def fit(chain: Chain, texts: list[tuple[np.ndarray, int]], places: np.ndarray, l
         by_word = np.stack([np.bincount(tokens, surplus[:, j], len(places)) for j in range(k)], 1)
         grad = [np.zeros_like(p) for p in parameters]
         for j in range(k):
-            grad[0][:, j] = np.bincount(places.ravel(), np.repeat(by_word[:, j], places.shape[1]), PLACES)
+            for column in places.T:
+                grad[0][:, j] += np.bincount(column, by_word[:, j], PLACES)
             grad[1][:, j] = np.bincount(chain.entry[lexicon], by_word[:, j], len(chain.entries))
         grad[2][:] = moves - pairs
         grad[0][0] = 0.0
@@ -181,7 +236,7 @@ def label(chain: Chain, texts: pa.Array) -> list[tuple[str, float, list[dict]]]:
     out: list = [("und", 0.0, [])] * len(sizes)
     if not len(words):
         return out
-    emissions = chain.emissions(*_places(distinct)).astype(np.float32)
+    emissions = chain.kept(distinct)
     starts = np.cumsum(sizes) - sizes
     order = [i for i in np.argsort(sizes, kind="stable").tolist() if sizes[i]]
     while order:
@@ -209,13 +264,13 @@ def _learned(langs: list[str]):
 
     def run(batches):
         counts = np.zeros((LEXICON, len(langs)), dtype=np.int64)
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in slices(whole, size=_SLICE)):
             names, drawn = batch.column("lang").to_pylist(), batch.column("drawn").to_pylist()
             distinct, words, sizes = _words(batch.column("text"))
             if len(words):
-                lexicon = _places(distinct)[1]
+                lexicon = _lexicon(distinct)
                 label_of = np.repeat([index[x] for x in names], sizes)
-                counts += np.bincount(lexicon[words] * len(langs) + label_of, minlength=counts.size).reshape(counts.shape)
+                counts += np.bincount(lexicon[words] * np.int64(len(langs)) + label_of, minlength=counts.size).reshape(counts.shape)
             kept = [(n, t) for n, t, d in zip(names, batch.column("text").to_pylist(), drawn) if d]
             yield _rows([-1] * len(kept), [0] * len(kept), [n for n, _ in kept], [t for _, t in kept])
         place, lang = np.nonzero(counts)
@@ -233,7 +288,7 @@ def _rows(place, n, lang, text) -> pa.RecordBatch:
 
 def _labelled(chain, carry: list[str]):
     def run(batches):
-        for batch in (part for whole in batches for part in slices(whole, "text_")):
+        for batch in (part for whole in batches for part in slices(whole, "text_", _SLICE)):
             texts = batch.column("text_")
             found = label(chain.value, texts) if chain else [("und", 0.0, [])] * batch.num_rows
             names, scores, runs = zip(*found)
@@ -262,8 +317,10 @@ def train(docs: DataFrame, fit_texts: int = FIT_TEXTS) -> Chain | None:
     found = staged(spark, drawn.mapInArrow(_learned(langs), "place long, n long, lang string, text string"), "language-counts")
     counts = np.zeros((LEXICON, len(langs)))
     sums = found.where("place >= 0").groupBy("place", "lang").agg(F.sum("n").alias("n"))
-    for r in sums.toLocalIterator():  # LEXICON rows a language at most, whatever the input
-        counts[r["place"], langs.index(r["lang"])] = r["n"]
+    table = sums.toArrow()  # LEXICON rows a language at most, whatever the input
+    if table.num_rows:
+        column = pc.index_in(table.column("lang"), pa.array(langs, table.schema.field("lang").type)).to_numpy()
+        counts[table.column("place").to_numpy(), column] = table.column("n").to_numpy()
     chain = Chain(langs, counts)
     texts = found.where("place = -1").select("text", "lang").collect()
     distinct, words, lengths = _words(pa.array([r["text"] for r in texts], pa.string()))
