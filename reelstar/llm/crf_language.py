@@ -127,6 +127,21 @@ def _places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, (whole % np.uint64(LEXICON)).astype(np.int32)
 
 
+def _potentials(e: np.ndarray) -> np.ndarray:
+    found = e - e.max(-1, keepdims=True)
+    return np.exp(found, out=found)
+
+
+class _Gathered:
+    """Potentials of each step of sequences of word codes, looked up when they are needed."""
+
+    def __init__(self, emissions: np.ndarray, words: np.ndarray):
+        self.table, self.words = _potentials(emissions), words
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.table[self.words[i]]
+
+
 class Chain:
     """Weights of places (PLACES, L), of lexicon entries (L, BINS, L) and of transitions (L, L); the lexicon's counts."""
 
@@ -166,28 +181,31 @@ class Chain:
 
     def marginals(self, e: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Label probabilities of padded sequences, e[t, b] = log potentials, and expected transitions of each step's sum."""
-        steps, rows, k = e.shape
+        return self.passes(_potentials(e), e.shape[0], lengths)
+
+    def passes(self, e: np.ndarray | _Gathered, steps: int, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same, given the potentials of each step; the probabilities take the place of the forward ones."""
+        rows, k = e[0].shape
         t = np.exp(self.steps - self.steps.max())
-        e = np.exp(e - e.max(2, keepdims=True))
-        alpha = np.empty_like(e)
-        alpha[0] = e[0] / e[0].sum(1, keepdims=True)
+        alpha = np.empty((steps, rows, k), dtype=e[0].dtype)
+        first = e[0]
+        alpha[0] = first / first.sum(1, keepdims=True)
         for i in range(1, steps):
             a = (alpha[i - 1] @ t) * e[i]
             alpha[i] = a / a.sum(1, keepdims=True)
         beta = np.ones((rows, k))
-        out = np.empty_like(e)
         pairs = np.zeros((k, k))
         for i in range(steps - 1, -1, -1):
             live = i < lengths
             g = alpha[i] * beta
-            out[i] = g / g.sum(1, keepdims=True)
+            alpha[i] = g / g.sum(1, keepdims=True)
             if i:
                 step = beta * e[i]
                 both = alpha[i - 1][live].T @ (step[live] / np.maximum(((alpha[i - 1] @ t) * step).sum(1, keepdims=True)[live], 1e-300))
                 pairs += both * t
                 step = step @ t.T
                 beta = np.where(live[:, None], step / step.sum(1, keepdims=True), beta)
-        return out, pairs
+        return alpha, pairs
 
 
 def fit(chain: Chain, texts: list[tuple[np.ndarray, int]], places: np.ndarray, lexicon: np.ndarray, seed: int = 11) -> None:
@@ -196,7 +214,7 @@ def fit(chain: Chain, texts: list[tuple[np.ndarray, int]], places: np.ndarray, l
     pieces = [(w[i : i + STRETCH], y) for w, y in texts for i in range(0, len(w), STRETCH)]
     order = rng.permutation(len(pieces))
     length, rows, k = STRETCH * STRETCHES, -(-len(pieces) // STRETCHES), len(chain.langs)
-    words, truth = np.zeros((length, rows), dtype=np.int64), np.zeros((length, rows), dtype=np.int64)
+    words, truth = np.zeros((length, rows), dtype=np.int32), np.zeros((length, rows), dtype=np.int32)
     sizes = np.zeros(rows, dtype=np.int64)
     for at, i in enumerate(order):
         w, y = pieces[i]
@@ -204,17 +222,17 @@ def fit(chain: Chain, texts: list[tuple[np.ndarray, int]], places: np.ndarray, l
         words[start : start + len(w), row], truth[start : start + len(w), row] = w, y
         sizes[row] += len(w)
     live = np.arange(length)[:, None] < sizes
-    tokens = words[live]
-    gold = np.zeros((len(tokens), k))
-    gold[np.arange(len(tokens)), truth[live]] = 1.0
+    tokens, there, gold = words.reshape(-1), np.flatnonzero(live), truth[live]
     moves = np.zeros((k, k))
     np.add.at(moves, (truth[:-1][live[1:]], truth[1:][live[1:]]), 1.0)
+    del truth, pieces
     parameters = [chain.weights, chain.entries, chain.steps]
     first, second = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
     for turn in range(1, STEPS + 1):
-        emissions = chain.emissions(places, lexicon)
-        found, pairs = chain.marginals(emissions[words], sizes)
-        surplus = gold - found[live]
+        found, pairs = chain.passes(_Gathered(chain.emissions(places, lexicon), words), length, sizes)
+        found[~live] = 0.0
+        surplus = np.negative(found, out=found).reshape(-1, k)
+        surplus[there, gold] += 1.0
         by_word = np.stack([np.bincount(tokens, surplus[:, j], len(places)) for j in range(k)], 1)
         grad = [np.zeros_like(p) for p in parameters]
         for j in range(k):
@@ -224,7 +242,7 @@ def fit(chain: Chain, texts: list[tuple[np.ndarray, int]], places: np.ndarray, l
         grad[2][:] = moves - pairs
         grad[0][0] = 0.0
         for p, g, m, v in zip(parameters, grad, first, second):
-            g = g / len(tokens) - PENALTY * p
+            g = g / len(there) - PENALTY * p
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             p += RATE * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.99**turn)) + 1e-8)
@@ -323,10 +341,12 @@ def train(docs: DataFrame, fit_texts: int = FIT_TEXTS) -> Chain | None:
         counts[table.column("place").to_numpy(), column] = table.column("n").to_numpy()
     chain = Chain(langs, counts)
     texts = found.where("place = -1").select("text", "lang").collect()
+    names = [r["lang"] for r in texts]
     distinct, words, lengths = _words(pa.array([r["text"] for r in texts], pa.string()))
+    del texts, table
     if len(words):
         ends = np.cumsum(lengths)
-        stretches = [(words[b - n : b], langs.index(r["lang"])) for r, b, n in zip(texts, ends, lengths) if n]
+        stretches = [(words[b - n : b], langs.index(x)) for x, b, n in zip(names, ends, lengths) if n]
         fit(chain, stretches, *_places(distinct))
     return chain
 

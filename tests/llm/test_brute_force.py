@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import tracemalloc
 import random
 
 import numpy as np
@@ -206,3 +207,24 @@ def test_near_duplicates_keep_one_of_each_group_and_every_clean_text(spark):
     got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
     key = lambda r: (r[0] is not None, r[0] or 0, r[1] or "")
     assert sorted(got, key=key) == sorted([(1, t), (5, clean), (None, other), (10, None), (11, ""), (12, ""), (None, None)], key=key)
+
+
+def test_fit_holds_two_arrays_of_its_words_and_labels():
+    """The driver fits beside the JVM: what it holds at once is bounded by two arrays of words by labels and the features."""
+    rng = np.random.default_rng(3)
+    k, n = 4, 60_000
+    chain = _chain(k)
+    chain.weights[:], chain.entries[:], chain.steps[:] = 0.0, 0.0, 0.0
+    words = ["der", "house", "große", "que"]
+    places, lexicon = crf_language._places(words)
+    texts = [(rng.integers(0, 4, n), y) for y in range(k)]
+    steps, crf_language.STEPS = crf_language.STEPS, 2
+    tracemalloc.start()
+    try:
+        crf_language.fit(chain, texts, places, lexicon)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        crf_language.STEPS = steps
+    tables = 8 * (4 * chain.weights.size + 4 * chain.entries.size)
+    assert most < tables + 4 * 8 * k * n * k  # with a few columns beside them
