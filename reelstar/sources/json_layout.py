@@ -20,6 +20,10 @@ counted and set aside by the reader; none is dropped in silence.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,21 +35,29 @@ _END = ", \t\r\n"  # what may follow a record on its line
 _BOM = "﻿"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _bare(line: Column) -> Column:
-    return F.rtrim(F.ltrim(line, F.lit(_BOM)), F.lit(_END))
+    text = F.ltrim(line, F.lit(_BOM))
+    # a right trim goes through the whole line: only where there is something to trim
+    ends = reduce(or_, (line.endswith(c) for c in _END))
+    return F.when(ends, F.rtrim(text, F.lit(_END))).otherwise(text)
 
 
 def _framed(text: Column, opening: str, closing: str) -> Column:
     return text.startswith(opening) & text.endswith(closing) & (F.length(text) > 1)
 
 
-def _is_layout(line: Column) -> Column:
-    return F.trim(_bare(line), F.lit(_END)).isin("", "[", "]") & ~_bare(line).rlike(r"^\s+[\[\]]")
+def _is_layout(bare: Column) -> Column:
+    bracket = F.ltrim(bare, F.lit(_END)).isin("[", "]") & ~bare.rlike(r"^\s+[\[\]]")
+    return (bare == "") | ((bare.endswith("[") | bare.endswith("]")) & bracket)
 
 
-def _is_complete(line: Column) -> Column:
-    text = _bare(line)
-    return _framed(text, "{", "}") | _framed(text, "[", "]")
+def _is_complete(bare: Column) -> Column:
+    return _framed(bare, "{", "}") | _framed(bare, "[", "]")
 
 
 def _elements(text: Column) -> Column:
@@ -67,21 +79,31 @@ def _records_of_value(text: Column) -> Column:
 
 def _records_of_fragments(lines: Column) -> Column:
     joined = F.array_join(lines, "\n")
-    found = _elements(F.concat(F.lit("["), F.rtrim(F.ltrim(joined, F.lit(_BOM)), F.lit(_END)), F.lit("]")))
-    values = F.flatten(F.transform(found, lambda x: F.when(x.startswith("["), F.coalesce(_elements(x), F.array(x))).otherwise(F.array(x))))
-    trimmed = F.transform(lines, lambda x: F.trim(_bare(x)))
-    own = F.forall(trimmed, lambda x: _framed(x, "{", "}"))
-    document = F.exists(lines, lambda x: x.rlike(r"^\s") | _bare(x).isin("{", "}"))
-    broken = F.when(document, F.array(joined)).otherwise(trimmed)
-    return F.when(found.isNotNull(), _marked(values)).when(own, F.flatten(F.transform(trimmed, _records_of_value))).otherwise(_marked(broken, True))
+
+    def of_elements(found: Column) -> Column:
+        values = F.flatten(F.transform(found, lambda x: F.when(x.startswith("["), F.coalesce(_elements(x), F.array(x))).otherwise(F.array(x))))
+        return F.when(found.isNotNull(), _marked(values)).otherwise(_let(F.transform(lines, lambda x: F.trim(_bare(x))), of_lines))
+
+    def of_lines(trimmed: Column) -> Column:
+        own = F.forall(trimmed, lambda x: _framed(x, "{", "}"))
+        document = F.exists(lines, lambda x: x.rlike(r"^\s") | _bare(x).isin("{", "}"))
+        broken = F.when(document, F.array(joined)).otherwise(trimmed)
+        return F.when(own, F.flatten(F.transform(trimmed, _records_of_value))).otherwise(_marked(broken, True))
+
+    return _let(_elements(F.concat(F.lit("["), F.rtrim(F.ltrim(joined, F.lit(_BOM)), F.lit(_END)), F.lit("]"))), of_elements)
 
 
 def records_of_lines(lines: Column) -> Column:
     """All records of a file (``record``, ``broken``), given its lines in their order."""
-    complete = F.flatten(F.transform(F.filter(lines, _is_complete), lambda x: _records_of_value(_bare(x))))
-    fragments = F.filter(lines, lambda x: ~_is_layout(x) & ~_is_complete(x))
     none = F.array().cast("array<struct<record:string,broken:boolean>>")
-    return F.concat(complete, F.when(F.size(fragments) > 0, _records_of_fragments(fragments)).otherwise(none))
+
+    def of_bare(lines: Column) -> Column:
+        complete = F.filter(lines, lambda x: _is_complete(x["bare"]))
+        others = F.filter(lines, lambda x: ~(_is_complete(x["bare"]) | _is_layout(x["bare"])))
+        fragments = _let(F.transform(others, lambda x: x["line"]), lambda x: F.when(F.size(x) > 0, _records_of_fragments(x)).otherwise(none))
+        return F.concat(F.flatten(F.transform(complete, lambda x: _records_of_value(x["bare"]))), fragments)
+
+    return _let(F.transform(lines, lambda x: F.struct(x.alias("line"), _bare(x).alias("bare"))), of_bare)
 
 
 def records_of_text(text: Column) -> Column:
@@ -98,7 +120,9 @@ def parsed(records: DataFrame, schema: StructType) -> DataFrame:
     full = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     kept = [c for c in records.columns if c not in ("record", "broken")]
-    found = records.select(*kept, "record", F.from_json(F.when(~F.col("broken"), F.col("record")), full, options).alias("of"))
+    # Out of an array of one: else a later filter is moved below and every record is read once more for it.
+    of = F.explode(F.array(F.from_json(F.when(~F.col("broken"), F.col("record")), full, options))).alias("of")
+    found = records.select(*kept, "record", of)
     corrupt = F.coalesce(F.col(f"of.{CORRUPT}"), F.when(F.col("of").isNull(), F.col("record")))
     return found.select(*[F.col(f"of.{f.name}").alias(f.name) for f in schema.fields], corrupt.alias(CORRUPT), *kept)
 
@@ -113,10 +137,11 @@ def scan_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     text = spark.read.text(path)
     line = F.col("value")
+    bare = _bare(line)
     file = F.col("_metadata.file_path").alias(SOURCE)
-    complete = text.where(_is_complete(line)).select(F.inline(_records_of_value(_bare(line))), file)
+    complete = text.where(_is_complete(bare)).select(F.inline(_records_of_value(bare)), file)
     place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), line.alias("line"))
-    fragments = text.where(~_is_layout(line) & ~_is_complete(line)).select(file, place.alias("place"))
+    fragments = text.where(~_is_layout(bare) & ~_is_complete(bare)).select(file, place.alias("place"))
     ordered = F.transform(F.sort_array(F.collect_list("place")), lambda x: x["line"])
     documents = fragments.groupBy(SOURCE).agg(ordered.alias("lines"))
     whole = documents.select(F.inline(_records_of_fragments(F.col("lines"))), SOURCE)

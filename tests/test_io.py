@@ -18,6 +18,7 @@ from reelstar.sources import fixtures as fx
 from reelstar.operators.landing import plan_landing
 from reelstar.sources import raw
 from reelstar.sources.event_source import DatedSource
+from reelstar.sources.json_layout import parsed, records_of_text, split_corrupt
 from reelstar.streaming import landing as stream
 
 SF = "/root/testdata/sf0.001"
@@ -413,3 +414,14 @@ def test_stream_reads_array_pages(spark, tmp_path):
     out = str(tmp_path / "out")
     stream.start_landing_stream(spark, str(tmp_path / "raw"), out, str(tmp_path / "ckpt")).awaitTermination()
     assert sorted(r.event_key for r in spark.read.parquet(out).collect()) == [f"k{i}" for i in range(5)]
+
+
+def test_landed_texts_are_split_and_read_once(spark):
+    """Each line of a landed text is looked at once, each record read once, though good ones are kept apart from malformed ones."""
+    files = spark.createDataFrame([("a.json", '[\n{\n  "event_key" : "e1"\n},\n{\n  "event_key" : "e2"\n}\n]\n'), ("b.json", '{"event_key": "e3"}\n{"event_key": "cut\n')], "_source_file string, text string")
+    records = files.select(F.inline(records_of_text(F.col("text"))), "_source_file")
+    good, corrupt = split_corrupt(parsed(records, schemas.RAW_EVENT))
+    assert sorted(r.event_key for r in good.collect()) == ["e1", "e2", "e3"]
+    assert [(r._corrupt_record, r._source_file) for r in corrupt.collect()] == [('{"event_key": "cut', "b.json")]
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("from_json(StructField(event_key") == 1
