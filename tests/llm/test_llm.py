@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from reelstar.llm import bottom_k, ngram_join, surrogates
 from reelstar.llm.crf_language import identify
+from reelstar.llm.common import staged
 from reelstar.llm.fuzzy_lines import dedup_lines, normalised
 from reelstar.llm.lexicon_bpe import Vocabulary, encode_decode
 from reelstar.llm.nbsvm import quality_scores
@@ -79,6 +81,47 @@ def test_ngram_join_equals_brute_force(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), find(i)) for i, s in enumerate(sets)}
 
 
+def test_sketches_bound_the_difference_of_sets():
+    rng = np.random.default_rng(8)
+    for n in (1, 30, 400, 1000, 1100, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        for kept in (n // 2, n - n // 10, n):
+            b = np.union1d(a[:kept], rng.integers(0, 1 << 63, n - kept).astype(np.uint64))
+            differ = sum(int(x).bit_count() for x in (ngram_join._parity(a) ^ ngram_join._parity(b)).view(np.uint64))
+            assert differ <= len(np.setxor1d(a, b)) and (kept < n or differ == 0)
+            if len(a) > 512 and len(b) > 512:
+                pair = {"a": [1], "b": [2], "x_n": [len(a)], "y_n": [len(b)], "x_fine": [ngram_join._fine(a)], "y_fine": [ngram_join._fine(b)]}
+                (found,) = ngram_join._near(85)([pa.RecordBatch.from_pydict(pair)])
+                linked = 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b))
+                assert found.num_rows == linked
+
+
+def test_like_but_unlinked_sets_of_one_list_are_not_paired(spark, monkeypatch):
+    """Texts of one template that differ too much to link share most lists; their pairs would grow with the square of their number."""
+    rng = random.Random(7)
+    base, n = [f"w{i}" for i in range(400)], 120
+    texts = []
+    for i in range(n):
+        w = list(base)
+        for at in rng.sample(range(400), 16):
+            w[at] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    texts.append(texts[5] + " more")
+    looked_at = []
+
+    def counted(spark, df, tag, *rest):
+        df = staged(spark, df, tag, *rest)
+        if tag == "jaccard-pairs":
+            looked_at.append(df.count())
+        return df
+
+    monkeypatch.setattr(ngram_join, "staged", counted)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_groups(frame).collect()}
+    assert got == {i: 5 if i == n else i for i in range(n + 1)}
+    assert looked_at[-1] < n
+
+
 def test_ngram_join_odd_rows(odd):
     got = sorted(tuple(r) for r in ngram_join.jaccard_groups(odd).collect())
     assert [r[2] for r in got if r[0] in (1, 2, 3)] == [1, 2, 3]
