@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 import math
+import re
+import time
 import tracemalloc
 import random
 
@@ -12,9 +14,10 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reelstar.llm import crf_language, nbsvm
+from reelstar.llm import common as common_module
+from reelstar.llm import crf_language, fuzzy_lines, nbsvm
 from reelstar.llm.bottom_k import fingerprint_edits
-from reelstar.llm.fuzzy_lines import BLOCKS, dedup_lines, hashed_lines, _lines
+from reelstar.llm.fuzzy_lines import BLOCKS, dedup_lines, hashed_lines, normalised, _lines
 
 SF = "/root/testdata/sf0.01"
 
@@ -193,6 +196,76 @@ def test_lines_of_any_columns_and_long_lines(spark):
     assert sorted((r.doc_id or 0, len(r.text), r.lines_removed) for r in got.collect()) == [(0, 5, 0), (1, len(line), 0), (2, 0, 1), (2, 0, 1)]
 
 
+def test_lines_of_common_words_are_not_compared(spark, monkeypatch):
+    """Lines that share their common words, also their pairs of them, but are not alike: few texts are compared, and every link is found."""
+    rng = random.Random(11)
+    common = ["the", "of", "and", "in", "to", "is", "was", "for", "that", "on", "at", "by"]
+    own = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(6, 12)))
+    line = lambda: [rng.choice(common) if rng.random() < 0.7 else own() for _ in range(60)]
+    lines = [line() for _ in range(500)]
+    near = [[own() if i in (7, 31, 50) else w for i, w in enumerate(x)] for x in lines[:20]]
+    near += [[*x[:9], own(), *x[9:40], *x[42:]] for x in lines[20:40]]
+    rows = [(i, " ".join(x)) for i, x in enumerate([*lines, *near])]
+    compared = []
+
+    def counted(spark, df, tag, *more, **options):
+        found = common_module.staged(spark, df, tag, *more, **options)
+        if tag.endswith("line-pairs"):
+            compared.append(found.count())
+        return found
+
+    monkeypatch.setattr(fuzzy_lines, "staged", counted)
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in got.collect() if r.lines_removed} == set(range(500, 540))
+    assert 40 <= sum(compared) < 400
+
+
+def test_short_lines_equal_brute_force(spark):
+    """Lines of 3 to 32 characters with up to a fifth of them edited anywhere: every link is found."""
+    rng = random.Random(12)
+    rows = []
+    for n in [*range(3, 33)] * 3:
+        own = "".join(rng.choice("abcdefghijklmnop    ") for _ in range(n))
+        other = list(own)
+        for _ in range(max(1, n // 5)):
+            i = rng.randrange(len(other))
+            other[i : i + rng.choice((0, 1))] = rng.choice(("", "x", "y"))
+        rows += [own, "".join(other)]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    norms = {r.doc_id: r.n for r in frame.select("doc_id", normalised(F.col("text")).alias("n")).collect() if r.n}
+    roots = {i: i for i in norms}
+
+    def root(i):
+        while roots[i] != i:
+            i = roots[i]
+        return i
+
+    texts = spark.createDataFrame([*norms.items()], "doc_id long, n string")
+    x, y = (texts.select(F.col("doc_id").alias(c), F.col("n").alias(f"{c}_n")) for c in "ab")
+    alike = F.expr("levenshtein(a_n, b_n) <= floor(0.2 * greatest(length(a_n), length(b_n)))")
+    for r in x.join(y, F.col("a") < F.col("b")).where(alike).collect():
+        first, second = sorted((root(r.a), root(r.b)))
+        roots[second] = first
+    gone = {i for i in norms if root(i) != i}
+    assert len(gone) > 40
+    assert {r.doc_id for r in dedup_lines(frame).collect() if r.lines_removed} == gone
+
+
+def test_steps_of_line_dedup_leave_no_shuffle_files(spark):
+    """What a step has shuffled goes with the step; the setting is as before."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {m[1] for m in re.finditer(r"shuffle_(\d+)_", blocks.getAllBlocks().mkString(" "))}
+    held = shuffles()
+    dedup_lines(spark.createDataFrame([(i, f"alpha beta gamma delta epsilon zeta eta theta iota kappa {i % 7}") for i in range(40)], "doc_id long, text string"))
+    for _ in range(50):
+        if not (left := shuffles() - held):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(key) == before
+
+
 # --- pipeline
 
 
