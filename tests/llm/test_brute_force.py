@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import os
 import re
 import time
 import tracemalloc
@@ -18,6 +19,7 @@ from reelstar.llm import common as common_module
 from reelstar.llm import crf_language, fuzzy_lines, nbsvm
 from reelstar.llm.bottom_k import fingerprint_edits
 from reelstar.llm.fuzzy_lines import BLOCKS, dedup_lines, hashed_lines, normalised, _lines
+from reelstar.session import checkpoint_dir
 
 SF = "/root/testdata/sf0.01"
 
@@ -251,19 +253,22 @@ def test_short_lines_equal_brute_force(spark):
     assert {r.doc_id for r in dedup_lines(frame).collect() if r.lines_removed} == gone
 
 
-def test_steps_of_line_dedup_leave_no_shuffle_files(spark):
-    """What a step has shuffled goes with the step; the setting is as before."""
+def test_steps_of_line_dedup_leave_no_files(spark):
+    """What a step has shuffled goes with the step, what was staged with the last; the setting is as before."""
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key)
     blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     shuffles = lambda: {m[1] for m in re.finditer(r"shuffle_(\d+)_", blocks.getAllBlocks().mkString(" "))}
-    held = shuffles()
+    at = f"{checkpoint_dir(spark)}/reelstar-llm/{spark.sparkContext.applicationId}"
+    tables = lambda: set(os.listdir(at)) if os.path.isdir(at) else set()
+    held, stood = shuffles(), tables()
     dedup_lines(spark.createDataFrame([(i, f"alpha beta gamma delta epsilon zeta eta theta iota kappa {i % 7}") for i in range(40)], "doc_id long, text string"))
     for _ in range(50):
         if not (left := shuffles() - held):
             break
         time.sleep(0.1)
     assert not left and spark.conf.get(key) == before
+    assert [t.rpartition("-")[0] for t in tables() - stood] == ["line-drops"]
 
 
 # --- pipeline
